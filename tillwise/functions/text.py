@@ -105,11 +105,11 @@ def sentiment_label(value: Column, threshold: float = 0.05) -> Column:
 
 
 def percent_text(value: Column) -> Column:
-    return F.coalesce(F.concat(F.format_number(value * 100, "0.0"), F.lit("%")), F.lit("—"))
+    return F.when(value.isNull(), "—").otherwise(F.format_string("%.1f%%", value * 100))
 
 
 def fixed_text(value: Column, digits: int = 3) -> Column:
-    return F.coalesce(F.format_number(value, "0." + "0" * digits), F.lit("—"))
+    return F.when(value.isNull(), "—").otherwise(F.format_string(f"%.{digits}f", value))
 
 
 def yes_no(flag: Column) -> Column:

@@ -522,7 +522,7 @@ def statements() -> dict[str, str]:
             ["churn"],
             f"""
             select user_id, tenure_months,
-                   {_r("coalesce(monthly_spend, (select quantile_cont(monthly_spend, 0.5) from churn))")}
+                   {_r("coalesce(monthly_spend, (select quantile_cont(monthly_spend, 0.5) from churn))", 6)}
                    as monthly_spend,
                    sessions_per_month, support_tickets, churned
             from churn""",
@@ -611,35 +611,35 @@ def statements() -> dict[str, str]:
         "basket_build": _with(["baskets"], f"select order_id, {items} from baskets"),
         "item_support": _with(
             ["sets", "total"],
-            f"select {items}, freq, {_r('freq / n')} as support from sets, total where len(items) = 1",
+            f"select {items}, freq, {_r('freq / n', 6)} as support from sets, total where len(items) = 1",
         ),
         "pair_itemsets": _with(
             ["sets", "total"],
-            f"select {items}, freq, {_r('freq / n')} as support from sets, total where len(items) <= 2",
+            f"select {items}, freq, {_r('freq / n', 6)} as support from sets, total where len(items) <= 2",
         ),
         "frequent_itemsets": _with(
-            ["sets", "total"], f"select {items}, freq, {_r('freq / n')} as support from sets, total"
+            ["sets", "total"], f"select {items}, freq, {_r('freq / n', 6)} as support from sets, total"
         ),
         "pair_rules": _with(
             ["rules"],
             f"""
             select antecedents[1] as antecedent, consequents[1] as consequent,
-                   {_r("support")} as support, {_r("confidence")} as confidence, {_r("lift")} as lift
+                   {_r("support", 6)} as support, {_r("confidence", 6)} as confidence, {_r("lift", 6)} as lift
             from rules
             where len(antecedents) = 1 and len(consequents) = 1 and confidence >= {CONFIDENCE}""",
         ),
         "association_rules": _with(
             ["rules"],
             f"""
-            select {sides}, {_r("support")} as support, {_r("confidence")} as confidence,
-                   {_r("lift")} as lift, {_r("leverage")} as leverage, {_r("conviction")} as conviction
+            select {sides}, {_r("support", 6)} as support, {_r("confidence", 6)} as confidence,
+                   {_r("lift", 6)} as lift, {_r("leverage", 6)} as leverage, {_r("conviction", 6)} as conviction
             from rules where confidence >= {RULE_CONFIDENCE}""",
         ),
         "rules_top25_lift": _with(
             ["rules"],
             f"""
-            select antecedents, consequents, {_r("support")} as support,
-                   {_r("confidence")} as confidence, {_r("lift")} as lift
+            select antecedents, consequents, {_r("support", 6)} as support,
+                   {_r("confidence", 6)} as confidence, {_r("lift", 6)} as lift
             from (select {sides}, support, confidence, lift from rules
                   where confidence >= {CONFIDENCE}
                   order by round(lift, 9) desc, 1, 2 limit 25) t""",

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.functions.ordering import occurrence_index
+from tillwise.functions.skew import HOT_ROWS
 from tillwise.functions.text import yes_no
 from tillwise.operators import (
     anomaly,
@@ -30,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 DIGITS = 4
+# For figures that are often short decimals themselves.
+FINE_DIGITS = 6
 SPLITS = 16
 BATCH_SIZE = 800
 RULE_CONFIDENCE = 0.05
@@ -41,9 +45,9 @@ def query(make: Query) -> Query:
     return make
 
 
-def rounded(*names: str) -> dict[str, Column]:
+def rounded(*names: str, digits: int = DIGITS) -> dict[str, Column]:
     # Adding zero turns a negative zero into zero.
-    return {n: F.round(n, DIGITS) + F.lit(0.0) for n in names}
+    return {n: F.round(n, digits) + F.lit(0.0) for n in names}
 
 
 def micros(df: DataFrame, name: str = "timestamp") -> DataFrame:
@@ -165,7 +169,7 @@ def clean_baskets(spark, folder):
 @query
 def clean_churn(spark, folder):
     return cleaning.clean_churn(feeds.churn_features(spark, folder)).withColumns(
-        rounded("monthly_spend")
+        rounded("monthly_spend", digits=FINE_DIGITS)
     )
 
 
@@ -192,9 +196,6 @@ def engineer_fraud_features(spark, folder):
 
 @query
 def device_occurrence(spark, folder):
-    from tillwise.functions.ordering import occurrence_index
-    from tillwise.functions.skew import HOT_ROWS
-
     counted = occurrence_index(
         feeds.transactions(spark, folder),
         ["user_id", "device_id"],
@@ -300,28 +301,28 @@ def basket_build(spark, folder):
 @query
 def item_support(spark, folder):
     return baskets.item_support(trained.basket_support(spark, folder)).select(
-        joined("items"), "freq", rounded("support")["support"].alias("support")
+        joined("items"), "freq", rounded("support", digits=FINE_DIGITS)["support"].alias("support")
     )
 
 
 @query
 def pair_itemsets(spark, folder):
     return baskets.pair_itemsets(trained.basket_support(spark, folder)).select(
-        joined("items"), "freq", rounded("support")["support"].alias("support")
+        joined("items"), "freq", rounded("support", digits=FINE_DIGITS)["support"].alias("support")
     )
 
 
 @query
 def frequent_itemsets(spark, folder):
     return trained.itemsets(spark, folder).select(
-        joined("items"), "freq", rounded("support")["support"].alias("support")
+        joined("items"), "freq", rounded("support", digits=FINE_DIGITS)["support"].alias("support")
     )
 
 
 @query
 def pair_rules(spark, folder):
     rules = baskets.pair_rules(trained.basket_support(spark, folder))
-    return rules.withColumns(rounded("support", "confidence", "lift"))
+    return rules.withColumns(rounded("support", "confidence", "lift", digits=FINE_DIGITS))
 
 
 def _rules(spark, folder, confidence):
@@ -338,7 +339,7 @@ def _rules(spark, folder, confidence):
 @query
 def association_rules(spark, folder):
     return _rules(spark, folder, RULE_CONFIDENCE).withColumns(
-        rounded("support", "confidence", "lift", "leverage", "conviction")
+        rounded("support", "confidence", "lift", "leverage", "conviction", digits=FINE_DIGITS)
     )
 
 
@@ -347,7 +348,9 @@ def rules_top25_lift(spark, folder):
     rules = _rules(spark, folder, baskets.CONFIDENCE).select(
         "antecedents", "consequents", "support", "confidence", "lift"
     )
-    return baskets.rules_by_lift(rules, 25).withColumns(rounded("support", "confidence", "lift"))
+    return baskets.rules_by_lift(rules, 25).withColumns(
+        rounded("support", "confidence", "lift", digits=FINE_DIGITS)
+    )
 
 
 # --- collaborative filtering ------------------------------------------------------
