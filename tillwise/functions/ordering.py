@@ -35,7 +35,6 @@ def interpolate(lower: float, upper: float, fraction: float) -> float:
 @dataclass
 class _Target:
     column: str
-    prob: float
     rank: int  # zero-based rank of the lower neighbour
     fraction: float
     last: int
@@ -70,42 +69,58 @@ def exact_quantiles(
     """
     columns = list(probs)
     work = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counts = work.agg(*[F.count(c).alias(c) for c in columns]).first()
-
-    targets: list[_Target] = []
-    for name in columns:
+    wanted = [(c, p) for c in columns for p in probs[c]]
+    margin = 2.0 / accuracy
+    # First pass: row counts together with a sketch around every quantile.
+    first = work.agg(
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[
+            F.percentile_approx(c, _around_prob(p, margin), accuracy).alias(f"t{i}")
+            for i, (c, p) in enumerate(wanted)
+        ],
+    ).first()
+    counts = {c: first[f"n_{i}"] for i, c in enumerate(columns)}
+
+    targets, wide, ranges = [], [], []
+    for i, (name, prob) in enumerate(wanted):
         n = counts[name]
-        for prob in probs[name]:
-            position = prob * (n - 1) if n else 0.0
-            rank = math.floor(position)
-            targets.append(
-                _Target(
-                    name, prob, rank, position - rank, max(n - 1, 0), inside=n, accuracy=accuracy
-                )
-            )
-
-    wide = [t for t in targets if t.inside > slice_rows]
+        position = prob * (n - 1) if n else 0.0
+        rank = math.floor(position)
+        target = _Target(
+            name, rank, position - rank, max(n - 1, 0), inside=n, accuracy=accuracy
+        )
+        targets.append(target)
+        if n > slice_rows:
+            wide.append(target)
+            ranges.append(first[f"t{i}"])
     while wide:
-        wide = _narrow(work, wide, slice_rows)
+        wide = _narrow(work, wide, ranges, slice_rows)
+        ranges = _sketch(work, wide) if wide else []
 
     return _pick(work, targets, columns, counts)
 
 
-def _narrow(work: DataFrame, targets: list[_Target], slice_rows: int) -> list[_Target]:
-    """One refinement of the value ranges; returns the targets that need another."""
+def _around_prob(prob: float, margin: float) -> list[float]:
+    return [max(0.0, prob - margin), min(1.0, prob + margin)]
+
+
+def _sketch(work: DataFrame, targets: list[_Target]) -> list[list[float]]:
+    """Values enclosing each target, from a sketch of its current range."""
     sketches = []
     for i, t in enumerate(targets):
         at = (t.rank - t.below + t.fraction) / t.inside
-        margin = 2.0 / t.accuracy
-        window = [max(0.0, at - margin), min(1.0, at + margin)]
-        sketches.append(
-            F.percentile_approx(
-                F.when(t.condition(), F.col(t.column)), window, t.accuracy
-            ).alias(f"t{i}")
-        )
-    bounds = work.agg(*sketches).first()
-    narrowed = [replace(t, low=bounds[f"t{i}"][0], high=bounds[f"t{i}"][1])
-                for i, t in enumerate(targets)]
+        inside = F.when(t.condition(), F.col(t.column))
+        window = _around_prob(at, 2.0 / t.accuracy)
+        sketches.append(F.percentile_approx(inside, window, t.accuracy).alias(f"t{i}"))
+    found = work.agg(*sketches).first()
+    return [found[f"t{i}"] for i in range(len(targets))]
+
+
+def _narrow(
+    work: DataFrame, targets: list[_Target], ranges: list[list[float]], slice_rows: int
+) -> list[_Target]:
+    """Set the new ranges after counting them; returns the targets that stay too wide."""
+    narrowed = [replace(t, low=r[0], high=r[1]) for t, r in zip(targets, ranges)]
     sizes = []
     for i, t in enumerate(narrowed):
         sizes.append(F.count_if(F.col(t.column) < F.lit(t.low)).alias(f"below{i}"))

@@ -46,10 +46,13 @@ NEGATION_FACTOR = -0.5
 WORD_PATTERN = "[a-z']+"
 
 
+# Every character that counts as whitespace, up to the last one (U+3000).
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def strip_whitespace(text: Column) -> Column:
     """Remove all leading and trailing whitespace, not only spaces."""
-    space = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
-    return F.regexp_replace(text, rf"\A{space}|{space}\z", "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def word_tokens(text: Column) -> Column:

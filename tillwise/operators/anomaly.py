@@ -151,42 +151,50 @@ def _tree_grower(key: str, features: list[str], seed: int, max_depth: int):
     return grow
 
 
+def _flat_trees(nodes: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """All trees in one line of nodes.
+
+    A right child follows its left one. A leaf leads to itself: its threshold is
+    infinite and its left child is the leaf, so a walk may overrun it.
+    """
+    width = int(nodes["node"].max()) + 1
+    size = (int(nodes["tree"].max()) + 1) * width
+    at = nodes["tree"].to_numpy() * width + nodes["node"].to_numpy()
+    leaf = nodes["feature"].to_numpy() < 0
+    feature = np.zeros(size, dtype=np.int32)
+    threshold = np.full(size, np.inf)
+    left = np.arange(size, dtype=np.int32)
+    length = np.zeros(size)
+    feature[at] = np.where(leaf, 0, nodes["feature"])
+    threshold[at] = np.where(leaf, np.inf, nodes["threshold"])
+    left[at] = np.where(leaf, at, nodes["tree"].to_numpy() * width + nodes["left"].to_numpy())
+    length[at] = nodes["depth"] + average_path(nodes["size"].to_numpy())
+    roots = np.sort(at[nodes["node"].to_numpy() == 0]).astype(np.int32)
+    return feature, threshold, left, length, roots
+
+
 def anomaly_score(rows: DataFrame, forest: Forest, out: str = "anomaly_score") -> DataFrame:
     """Add 2^(-mean path / expected path): in (0, 1), higher is rarer."""
     nodes = forest.nodes.toPandas()
-    n_trees, width = forest.n_trees, int(nodes["node"].max()) + 1
-    shape = (n_trees, width)
-    feature = np.full(shape, -1, dtype=np.int64)
-    threshold = np.zeros(shape)
-    left = np.zeros(shape, dtype=np.int64)
-    right = np.zeros(shape, dtype=np.int64)
-    length = np.zeros(shape)
-    at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
-    feature[at] = nodes["feature"]
-    threshold[at] = nodes["threshold"]
-    left[at] = nodes["left"]
-    right[at] = nodes["right"]
-    length[at] = nodes["depth"] + average_path(nodes["size"].to_numpy())
     steps = int(nodes["depth"].max())
     expected = max(float(average_path(np.array(forest.sample_size))), 1e-12)
-    trees = np.arange(n_trees)[None, :]
-    shared = rows.sparkSession.sparkContext.broadcast((feature, threshold, left, right, length))
+    shared = rows.sparkSession.sparkContext.broadcast(_flat_trees(nodes))
 
     def mean_path(x: np.ndarray) -> np.ndarray:
-        feature, threshold, left, right, length = shared.value
-        node = np.zeros((len(x), n_trees), dtype=np.int64)
+        feature, threshold, left, length, roots = shared.value
+        values = x.ravel()
+        row = (np.arange(len(x), dtype=np.int32) * x.shape[1])[:, None]
+        node = np.repeat(roots[None, :], len(x), axis=0)
         for _ in range(steps):
-            f = feature[trees, node]
-            value = np.take_along_axis(x, np.maximum(f, 0), axis=1)
-            child = np.where(value <= threshold[trees, node], left[trees, node], right[trees, node])
-            node = np.where(f < 0, node, child)
-        return length[trees, node].mean(axis=1)
+            value = values.take(row + feature.take(node))
+            node = left.take(node) + (value > threshold.take(node))
+        return length.take(node).mean(axis=1)
 
     @F.pandas_udf("double")
     def score(chunks: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in chunks:
             x = np.column_stack([c.fillna(0.0).to_numpy(dtype=float) for c in columns])
-            parts = [mean_path(x[i : i + 4096]) for i in range(0, len(x), 4096)]
+            parts = [mean_path(x[i : i + 1024]) for i in range(0, len(x), 1024)]
             paths = np.concatenate(parts) if parts else np.zeros(0)
             yield pd.Series(2.0 ** (-paths / expected))
 
@@ -199,7 +207,10 @@ def flag_outliers(
     contamination: float = CONTAMINATION,
     out: str = "isolation_forest_outlier",
 ) -> DataFrame:
-    """True strictly above the (1 - contamination) quantile of the scores."""
+    """True strictly above the (1 - contamination) quantile of the scores.
+
+    Reads the scores several times: pass a written table when they are costly.
+    """
     limit = exact_quantiles(scored, {score: [1.0 - contamination]})[score][0]
     return scored.withColumn(out, F.col(score) > F.lit(limit))
 

@@ -9,6 +9,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.functions.text import strip_whitespace
 from tillwise.workspace import materialise
 
 SUPPORT_FULL = 0.006
@@ -25,7 +26,7 @@ def basket_items(lines: DataFrame) -> DataFrame:
     an order with very many lines is not gathered.
     """
     return (
-        lines.where(F.length(F.regexp_replace("product_id", r"\s", "")) > 0)
+        lines.where(F.length(strip_whitespace(F.col("product_id"))) > 0)
         .select("order_id", F.col("product_id").alias("item"))
         .distinct()
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.ordering import ROWS_PER_BIN, bins_for, range_bounds, with_range_bin
+from tillwise.workspace import materialise
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -104,6 +105,8 @@ def roc_auc(
         F.count_if(F.col(label) == 1).cast("double").alias("pos"),
         F.count_if(F.col(label) == 0).cast("double").alias("neg"),
     )
+    # Read up to three times below, and much smaller than the rows.
+    per_score = materialise(per_score, "score-counts")
     n_bins = bins_for(per_score.count(), rows_per_bin)
     bounds = range_bounds(per_score, "score", n_bins)
     ranged = with_range_bin(per_score, "score", bounds, "range_bin")

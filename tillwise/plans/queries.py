@@ -513,19 +513,13 @@ def churn_score(spark, folder):
 
 @query
 def anomaly_score(spark, folder):
-    rows = trained.featured_transactions(spark, folder)
-    scored = anomaly.anomaly_score(rows, trained.forest(spark, folder))
-    return micros(anomaly.flag_outliers(scored))
+    return micros(anomaly.flag_outliers(trained.anomaly_scores(spark, folder)))
 
 
 def _metric_rows(spark, folder) -> dict[str, DataFrame]:
     tx = feeds.transactions(spark, folder)
     reviews = _scored_reviews(spark, folder)
-    scored = anomaly.flag_outliers(
-        anomaly.anomaly_score(
-            trained.featured_transactions(spark, folder), trained.forest(spark, folder)
-        )
-    )
+    scored = anomaly.flag_outliers(trained.anomaly_scores(spark, folder))
     n = F.count(F.lit(1))
     rules = _rules(spark, folder, baskets.CONFIDENCE).agg(n.alias("n_rules"))
     itemsets = trained.itemsets(spark, folder).agg(n.alias("n_frequent_itemsets"))

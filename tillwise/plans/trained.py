@@ -25,6 +25,11 @@ def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], Any])
     return _made[key]
 
 
+def forget() -> None:
+    """Drop all shared artefacts of this process."""
+    _made.clear()
+
+
 def clean_transactions(spark: SparkSession, folder: str) -> DataFrame:
     fill = _once(
         spark,
@@ -94,6 +99,19 @@ def forest(spark: SparkSession, folder: str) -> anomaly.Forest:
     )
 
 
+def anomaly_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored rows, written because the outlier limit reads the scores again."""
+    return _once(
+        spark,
+        folder,
+        "anomaly_scores",
+        lambda: materialise(
+            anomaly.anomaly_score(featured_transactions(spark, folder), forest(spark, folder)),
+            "anomaly-scores",
+        ),
+    )
+
+
 def basket_support(spark: SparkSession, folder: str) -> baskets.BasketSupport:
     return _once(
         spark,

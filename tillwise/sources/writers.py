@@ -77,3 +77,25 @@ def append_history(metrics: DataFrame, path: str) -> None:
         figure("fraud_model_baseline").alias("fraud_roc_auc_baseline"),
         figure("churn").alias("churn_roc_auc"),
     ).select(F.current_timestamp().alias("at"), "*").write.mode("append").parquet(path)
+
+
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# File format per feed of the lake.
+LAKE_FORMATS = {
+    "transactions": "csv",
+    "reviews": "json",
+    "order_line_items": "csv",
+    "user_churn_features": "csv",
+    "user_product_ratings": "csv",
+}
+
+
+def write_lake(frames: dict[str, DataFrame], path: str) -> DataFrame:
+    """Write the feeds as headered CSV and JSON lines; returns the lake's manifest."""
+    for name, frame in frames.items():
+        # Text formats keep milliseconds by default; events are ordered by microseconds.
+        frame.write.mode("overwrite").format(LAKE_FORMATS[name]).options(
+            header=True, timestampNTZFormat=MICROS
+        ).save(f"{path}/{name}")
+    tables = {n: (f"{path}/{n}", LAKE_FORMATS[n], frame) for n, frame in frames.items()}
+    return lake_manifest(tables)

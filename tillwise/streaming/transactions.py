@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,20 +65,23 @@ def mark_first_sight(stream: DataFrame) -> DataFrame:
     ) -> Iterator[pd.DataFrame]:
         known = state.exists
         state.update((True,))
-        earliest: pd.DataFrame | None = None
+        # The chunk with the earliest event so far waits; the others go on.
+        waiting: pd.DataFrame | None = None
+        earliest = None
         for chunk in chunks:
             chunk = chunk[columns].assign(new_device=0)
             if known:
                 yield chunk
                 continue
-            # Hold back only the earliest event so far; the rest can go on.
-            rows = chunk if earliest is None else pd.concat([earliest, chunk])
-            rows = rows.reset_index(drop=True)
-            first = rows.sort_values(["timestamp", "txn_id"]).index[0]
-            earliest = rows.loc[[first]]
-            yield rows.drop(index=first)
-        if earliest is not None:
-            yield earliest.assign(new_device=1)
+            at = np.lexsort((chunk["txn_id"], chunk["timestamp"]))[0]
+            event = (chunk["timestamp"].iat[at], chunk["txn_id"].iat[at], at)
+            if waiting is None or event[:2] < earliest[:2]:
+                chunk, waiting, earliest = waiting, chunk, event
+            if chunk is not None:
+                yield chunk
+        if waiting is not None:
+            waiting.iloc[earliest[2], -1] = 1
+            yield waiting
 
     return stream.groupBy("user_id", "device_id").applyInPandasWithState(
         first_sight, schema, "seen boolean", "append", "NoTimeout"
