@@ -74,7 +74,7 @@ def test_array_split(spark, n, k, rows_per_bin):
 def test_batches(spark):
     df = spark.range(10).select(F.col("id").alias("key"), F.col("id").cast("double").alias("s"))
     batched = rollups.with_batch_number(df, "key", 4, rows_per_bin=3)
-    stats = rollups.batch_score_stats(batched, "s", 4).orderBy("batch_no")
+    stats = rollups.batch_score_stats(batched, "s").orderBy("batch_no")
     assert [tuple(r) for r in stats.collect()] == [
         (0, 0, 4, 1.5, 3.0), (1, 4, 4, 5.5, 7.0), (2, 8, 2, 8.5, 9.0)
     ]

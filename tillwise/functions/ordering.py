@@ -207,7 +207,7 @@ def group_order_window(
     cold_rows, hot_part = split_hot(rows, by, hot)
     result = _windowed_order(cold_rows, by, prob)
     if hot_part is not None:
-        result = result.unionByName(_sketched_order(hot_part, by, prob, accuracy))
+        result = result.unionByName(sketched_order_window(hot_part, by, prob, accuracy))
     return result
 
 
@@ -232,7 +232,10 @@ def _windowed_order(rows: DataFrame, by: Sequence[str], prob: float) -> DataFram
     )
 
 
-def _sketched_order(rows: DataFrame, by: Sequence[str], prob: float, accuracy: int) -> DataFrame:
+def sketched_order_window(
+    rows: DataFrame, by: Sequence[str], prob: float, accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """:func:`group_order_window` for a bounded number of large groups, values in ``v``."""
     # The sketch misses a rank by at most n/accuracy, so two such steps on each
     # side, plus a floor for small groups, always enclose the wanted ranks.
     margin = 2.0 / accuracy

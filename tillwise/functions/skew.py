@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 200_000
+HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 50_000
 
 
@@ -20,15 +20,16 @@ def hot_groups(
     """Keys whose group exceeds the limit, or None when no group does.
 
     The limit is at least ``total / max_keys``, so at most ``max_keys`` keys can
-    exceed it whatever the data looks like; that is what makes it safe to
-    broadcast the returned frame.
+    exceed it whatever the data looks like. They are brought back once as a local
+    frame, which is safe to broadcast and is not counted again where it is used.
     """
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("group_rows"))
     total, largest = counts.agg(F.sum("group_rows"), F.max("group_rows")).first()
     limit = max(hot_rows, (total or 0) // max_keys)
     if largest is None or largest <= limit:
         return None
-    return counts.where(F.col("group_rows") > limit).select(*by)
+    keys = counts.where(F.col("group_rows") > limit).select(*by)
+    return df.sparkSession.createDataFrame(keys.collect(), keys.schema)
 
 
 def split_hot(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.ordering import group_order_window, group_quantile
+from tillwise.functions.ordering import group_quantile, sketched_order_window
 from tillwise.functions.skew import HOT_ROWS, hot_groups, split_hot
 from tillwise.operators.cleaning import user_mode
 
@@ -63,12 +63,11 @@ def _windowed(tx: DataFrame, by: list[str]) -> DataFrame:
 
 def _aggregated(tx: DataFrame, by: list[str]) -> DataFrame:
     homes = user_mode(tx, by, "location_id", "home")
-    # Every group here is a hot one already, so all of them take the sketch path.
-    groups = tx.select(*by).distinct()
-    near = group_order_window(tx, by, "amount", SPEND_QUANTILE, hot=groups)
+    amounts = tx.where(F.col("amount").isNotNull()).select(*by, F.col("amount").alias("v"))
+    near = sketched_order_window(amounts, by, SPEND_QUANTILE)
     limits = group_quantile(near, by, SPEND_QUANTILE, "spend_limit")
     # One row per hot group: at most skew.MAX_HOT_KEYS rows.
-    stats = groups.join(homes, by, "left").join(limits, by, "left")
+    stats = homes.join(limits, by, "full_outer")
     first_seen = (
         tx.groupBy(*by, "device_id")
         .agg(F.min(F.struct("timestamp", "txn_id")).alias("first"))

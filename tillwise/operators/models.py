@@ -20,7 +20,6 @@ FRAUD_SEED = 42
 CHURN_SEED = 7
 TEST_SHARE = 0.25
 CHURN_FEATURES = ["tenure_months", "monthly_spend", "sessions_per_month", "support_tickets"]
-FIT_PARTITIONS = 8
 
 
 def split_hash(key: str, seed: int) -> Column:
@@ -114,8 +113,9 @@ def _fit(
     seed: int,
     out: str,
     balanced: bool,
-    partitions: int,
+    partitions: int | None,
 ) -> Classifier:
+    partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = list(dict.fromkeys([key, *features, label]))
     data = rows.select(*columns)
     test = in_test_part(key, seed)
@@ -148,7 +148,7 @@ def train_fraud_model(
     features: Sequence[str] = FEATURES,
     n_trees: int = 80,
     max_depth: int = 12,
-    partitions: int = FIT_PARTITIONS,
+    partitions: int | None = None,
 ) -> Classifier:
     """Random forest with balanced classes on engineered transactions."""
     forest = RandomForestClassifier(
@@ -170,7 +170,7 @@ def train_fraud_baseline(raw: DataFrame, **options) -> Classifier:
 
 
 def train_churn_model(
-    users: DataFrame, rounds: int = 100, partitions: int = FIT_PARTITIONS
+    users: DataFrame, rounds: int = 100, partitions: int | None = None
 ) -> Classifier:
     """Gradient boosting on tenure, spend, sessions and tickets."""
     boosted = GBTClassifier(

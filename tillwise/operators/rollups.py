@@ -99,7 +99,7 @@ def with_split_id(
     return indexed.withColumn("split_id", split.cast("int")).drop("row_index")
 
 
-def batch_score_stats(scored: DataFrame, score: str, batch_size: int) -> DataFrame:
+def batch_score_stats(scored: DataFrame, score: str) -> DataFrame:
     """Start row, size, mean and maximum score of each batch."""
     return scored.groupBy("batch_no").agg(
         F.min("row_index").alias("batch_start_idx"),

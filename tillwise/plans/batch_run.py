@@ -64,7 +64,8 @@ def run(spark: SparkSession, lake: str, out: str, options: RunOptions = RunOptio
     figures: dict[str, DataFrame] = {}
     n = F.count(F.lit(1))
 
-    raw = feed["transactions"]
+    # Text feeds that are read more than once become columnar first.
+    raw = materialise(feed["transactions"], "transactions")
     clean = materialise(cleaning.clean_transactions(raw), "clean-transactions")
     featured = materialise(features.engineer_fraud_features(clean), "featured")
 
@@ -101,7 +102,8 @@ def run(spark: SparkSession, lake: str, out: str, options: RunOptions = RunOptio
     writers.write_table(itemsets, f"{out}/frequent_itemsets")
     writers.write_table(rules, f"{out}/association_rules")
 
-    users = materialise(cleaning.clean_churn(feed["user_churn_features"]), "churn-users")
+    customers = materialise(feed["user_churn_features"], "customers")
+    users = materialise(cleaning.clean_churn(customers), "churn-users")
     churn = models.train_churn_model(users, rounds=options.churn_rounds)
     churn.save(f"{out}/models/churn_gbt")
     writers.write_table(churn.score(users), f"{out}/churn_scores")
@@ -126,7 +128,7 @@ def run(spark: SparkSession, lake: str, out: str, options: RunOptions = RunOptio
         def arriving(files_per_batch: int | None = None) -> DataFrame:
             return readers.stream_table(spark, staged, feeds.TRANSACTIONS, files_per_batch)
 
-        homes = cleaning.user_home_location(clean)
+        homes = materialise(cleaning.user_home_location(clean), "homes")
         writers.write_table(
             streams.score_micro_batches(arriving(1), full), f"{out}/streaming_fraud_batches"
         )

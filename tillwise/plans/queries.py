@@ -123,7 +123,7 @@ def positional_batch_stats(spark, folder):
     )
     flags = F.col("unusual_location") + F.col("high_spend") + F.col("new_device")
     scored = amount_score(flagged).withColumn("score", (F.col("score") + flags) / 4)
-    stats = rollups.batch_score_stats(scored, "score", BATCH_SIZE)
+    stats = rollups.batch_score_stats(scored, "score")
     return stats.withColumns(rounded("mean_fraud_proba", "max_fraud_proba"))
 
 
@@ -556,13 +556,9 @@ def _stream(spark, folder):
     return feeds.transactions_from_events(events)
 
 
-def _homes(spark, folder):
-    return cleaning.user_home_location(trained.clean_transactions(spark, folder))
-
-
 @query
 def stream_event_features(spark, folder):
-    made = streams.event_features(_stream(spark, folder), _homes(spark, folder))
+    made = streams.event_features(_stream(spark, folder), trained.homes(spark, folder))
     return streams.run_available(made, "event-features").select(
         "txn_id", "user_id", "location_id", "unusual_location", "high_spend", "new_device"
     )
@@ -571,7 +567,7 @@ def stream_event_features(spark, folder):
 @query
 def stream_event_score(spark, folder):
     model = trained.fraud_model(spark, folder)
-    scored = streams.score_events(_stream(spark, folder), _homes(spark, folder), model)
+    scored = streams.score_events(_stream(spark, folder), trained.homes(spark, folder), model)
     return streams.run_available(scored, "event-scores")
 
 

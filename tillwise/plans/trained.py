@@ -52,6 +52,17 @@ def featured_transactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def homes(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(
+        spark,
+        folder,
+        "homes",
+        lambda: materialise(
+            cleaning.user_home_location(clean_transactions(spark, folder)), "homes"
+        ),
+    )
+
+
 def fraud_model(spark: SparkSession, folder: str) -> models.Classifier:
     return _once(
         spark,

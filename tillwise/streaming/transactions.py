@@ -36,8 +36,9 @@ def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFr
 def event_features(stream: DataFrame, homes: DataFrame) -> DataFrame:
     """Online features of each event.
 
-    Location is compared with the user's home location (a static table), spend
-    with a fixed amount, and a device is new when this stream has not seen it for
+    Location is compared with the user's home location (a static table, read again
+    for every micro-batch: pass a written one), spend with a fixed amount, and a
+    device is new when this stream has not seen it for
     the user before. State is kept per (user, device), one flag each, so the
     state and the work of a heavy user spread over the user's devices.
     """
@@ -124,8 +125,10 @@ def score_micro_batches(
             F.avg("fraud_proba").alias("mean_fraud_proba"),
             F.max("fraud_proba").alias("max_fraud_proba"),
         )
-        stats.withColumn("batch_start_idx", F.lit(_next_start(batch.sparkSession, out, batch_id)))\
-            .write.mode("overwrite").parquet(f"{out}/batch_no={batch_id}")
+        start = _next_start(batch.sparkSession, out, batch_id)
+        stats.withColumn("batch_start_idx", F.lit(start).cast("long")).write.mode(
+            "overwrite"
+        ).parquet(f"{out}/batch_no={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(score)

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Folder per application, only where a local session names none.
+_local: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,9 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tillwise-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="tillwise-")
+    return _local[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
