@@ -1 +1,9 @@
 """Retail analytics as DataFrame-to-DataFrame functions on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers carry their code with them, so that executors
+# need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
