@@ -46,6 +46,27 @@ def test_csv_fields_that_do_not_parse_become_null(spark):
     ]
 
 
+def test_csv_as_other_tools_write_it(spark):
+    """No key column, another column order, whole numbers as 12.0, NaN for missing."""
+    path = fresh_path(spark, "csv")
+    lines = [
+        "amount,user_id,location_id,device_id,timestamp,is_fraud",
+        "10.5,1,12.0,7,2024-01-01 00:00:00,0",
+        "NaN,2,,8,2024-01-01 00:00:01.250000,1",
+    ]
+    spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(path)
+    rows = readers.read_csv(spark, path, feeds.TRANSACTIONS, key="txn_id").orderBy("txn_id").collect()
+    assert [tuple(r) for r in rows] == [
+        (0, 1, 10.5, 12, 7, datetime(2024, 1, 1), 0),
+        (1, 2, None, None, 8, datetime(2024, 1, 1, 0, 0, 1, 250000), 1),
+    ]
+
+
+def test_nan_is_missing(spark):
+    df = readers.nan_as_null(spark.createDataFrame([(float("nan"),), (1.0,)], "v double"))
+    assert df.where("v is null").count() == 1
+
+
 @pytest.mark.parametrize("source", ["parquet", "csv", "json"])
 def test_missing_file_is_an_empty_table(spark, source):
     df = readers.read_or_empty(spark, fresh_path(spark, "none"), feeds.RATINGS, source)

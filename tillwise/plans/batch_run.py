@@ -47,11 +47,14 @@ def read_lake(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
         "user_churn_features": feeds.CHURN,
         "user_product_ratings": feeds.RATINGS,
     }
-    read = {"csv": readers.read_csv, "json": readers.read_json_lines}
-    return {
-        name: read[writers.LAKE_FORMATS[name]](spark, f"{lake}/{name}", schema)
-        for name, schema in schemas.items()
-    }
+    frames = {}
+    for name, schema in schemas.items():
+        if writers.LAKE_FORMATS[name] == "csv":
+            key = "txn_id" if name == "transactions" else None
+            frames[name] = readers.read_csv(spark, f"{lake}/{name}", schema, key)
+        else:
+            frames[name] = readers.read_json_lines(spark, f"{lake}/{name}", schema)
+    return frames
 
 
 def run(spark: SparkSession, lake: str, out: str, options: RunOptions = RunOptions()) -> str:

@@ -5,20 +5,51 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with a declared schema; fields that do not parse become null."""
-    return (
-        spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    )
+def _parsed(field: T.StructField) -> Column:
+    """A text field as its declared type; what does not parse becomes null."""
+    kind = field.dataType.simpleString()
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, T.IntegralType):
+        # A column with gaps is often written as 12.0.
+        exact = f"try_cast({name} as {kind})"
+        return F.expr(f"coalesce({exact}, try_cast(try_cast({name} as double) as {kind}))")
+    return F.expr(f"try_cast({name} as {kind})")
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """A NaN is a missing value here, not a number."""
+    floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, key: str | None = None
+) -> DataFrame:
+    """Headered CSV, columns found by name and parsed to the declared types.
+
+    Columns the file lacks are null. A missing ``key`` column is numbered in file
+    order instead; write the frame before using it twice, as numbers follow the
+    layout of the read.
+    """
+    text = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+
+    def column(field: T.StructField) -> Column:
+        if field.name in text.columns:
+            return _parsed(field).alias(field.name)
+        if field.name == key:
+            return F.monotonically_increasing_id().cast(field.dataType).alias(field.name)
+        return F.lit(None).cast(field.dataType).alias(field.name)
+
+    return nan_as_null(text.select(*[column(f) for f in schema]))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    return nan_as_null(spark.read.schema(schema).option("mode", "PERMISSIVE").json(path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -30,10 +61,9 @@ def read_or_empty(
 ) -> DataFrame:
     """The data at a path, or an empty frame of the schema when nothing is there."""
     try:
-        reader = spark.read.schema(schema)
         if source == "csv":
-            reader = reader.option("header", True)
-        return reader.format(source).load(path)
+            return read_csv(spark, path, schema)
+        return spark.read.schema(schema).format(source).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
