@@ -14,6 +14,7 @@ MIXED = (
     [(1, float(i % 97), i % 3, i % 5, i // 2) for i in range(400)]
     + [(2, 900.0, 4, 1, 3)]
     + [(3, 5.0, None, 1, 9), (3, 6.0, None, 1, 9), (3, 7.0, None, 2, 1)]
+    + [(None, float(i), i % 2, i % 3) for i in range(30)]
     + [(4, None, 2, 1, 1), (4, 8.0, 2, 1, 1), (4, 8.0, 1, 1, 0)]
 )
 

@@ -71,12 +71,14 @@ def test_global_row_index(spark, rows_per_bin):
 
 @pytest.mark.parametrize("hot_rows", [10, 10_000])
 def test_occurrence_index(spark, make_tx, hot_rows):
-    rows = [(1, 1.0, 1, 5)] * 120 + [(2, 1.0, 1, 6)] * 4
+    rows = [(1, 1.0, 1, 5)] * 120 + [(2, 1.0, 1, 6)] * 4 + [(None, 1.0, 1, 6)] * 30
     out = ordering.occurrence_index(
         make_tx(rows), ["user_id", "device_id"], ["timestamp"], "txn_id", hot_rows, 20
     )
     got = [(r.user_id, r.occurrence) for r in out.orderBy("txn_id").collect()]
-    assert got == [(1, i) for i in range(120)] + [(2, i) for i in range(4)]
+    assert got == [(1, i) for i in range(120)] + [(2, i) for i in range(4)] + [
+        (None, i) for i in range(30)
+    ]
 
 
 def test_hot_groups_are_few(spark):

@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.skew import hot_groups, split_hot
+from tillwise.functions.skew import hot_groups, join_on_group, split_hot
 
 SKETCH_ACCURACY = 10_000
 SKETCH_ACCURACY_LIMIT = 1_000_000
@@ -255,7 +255,7 @@ def sketched_order_window(
         F.when(small, F.col("highest")).otherwise(F.col("b")[1]).alias("high"),
     )
     # One row per hot group: at most MAX_HOT_KEYS rows, see skew.hot_groups.
-    scoped = rows.join(F.broadcast(ranges), list(by))
+    scoped = join_on_group(rows, F.broadcast(ranges), by, "inner")
     below = scoped.groupBy(*by).agg(F.count_if(F.col("v") < F.col("low")).alias("below"))
     counted = (
         scoped.where(F.col("v").between(F.col("low"), F.col("high")))
@@ -263,9 +263,8 @@ def sketched_order_window(
         .agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"), F.max("rank").alias("rank"))
     )
     ahead = Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("ahead", F.coalesce(F.sum("c").over(ahead), F.lit(0))).join(
-        F.broadcast(below), list(by)
-    )
+    ranked = counted.withColumn("ahead", F.coalesce(F.sum("c").over(ahead), F.lit(0)))
+    placed = join_on_group(ranked, F.broadcast(below), by, "inner")
     first = F.col("below") + F.col("ahead")
     return placed.groupBy(*by).agg(
         F.max("n").alias("n"),
@@ -383,7 +382,7 @@ def occurrence_index(
     )
     shifted = (
         ranged.withColumn("within", within)
-        .join(starts, [*by, "range_bin"])
+        .transform(lambda d: join_on_group(d, starts, [*by, "range_bin"], "inner"))
         .withColumn(out, F.col("start") + F.col("within") - 1)
     )
     return result.unionByName(shifted.select(*result.columns))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,13 @@ def hot_groups(
     return df.sparkSession.createDataFrame(keys.collect(), keys.schema)
 
 
+def join_on_group(left: DataFrame, right: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """Join on group keys the way grouping sees them: a missing key is a group too."""
+    renamed = right.withColumnsRenamed({c: f"group_{c}" for c in by})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"group_{c}")) for c in by])
+    return left.join(renamed, same, how).drop(*[f"group_{c}" for c in by])
+
+
 def split_hot(
     df: DataFrame, by: Sequence[str], hot: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -39,4 +48,4 @@ def split_hot(
     if hot is None:
         return df, None
     keys = F.broadcast(hot)
-    return df.join(keys, list(by), "left_anti"), df.join(keys, list(by), "left_semi")
+    return join_on_group(df, keys, by, "left_anti"), join_on_group(df, keys, by, "left_semi")

@@ -33,7 +33,10 @@ def basket_items(lines: DataFrame) -> DataFrame:
 
 
 def baskets(lines: DataFrame) -> DataFrame:
-    """Sorted distinct items per order."""
+    """Sorted distinct items per order, whole: as long as the order has products.
+
+    The miners do not use this form; they cut baskets first, see basket_support.
+    """
     return basket_items(lines).groupBy("order_id").agg(
         F.sort_array(F.collect_list("item")).alias("items")
     )

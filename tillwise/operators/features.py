@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.ordering import group_quantile, sketched_order_window
-from tillwise.functions.skew import HOT_ROWS, hot_groups, split_hot
+from tillwise.functions.skew import HOT_ROWS, hot_groups, join_on_group, split_hot
 from tillwise.operators.cleaning import user_mode
 
 FEATURES = ["amount", "unusual_location", "high_spend", "new_device"]
@@ -66,15 +66,15 @@ def _aggregated(tx: DataFrame, by: list[str]) -> DataFrame:
     amounts = tx.where(F.col("amount").isNotNull()).select(*by, F.col("amount").alias("v"))
     near = sketched_order_window(amounts, by, SPEND_QUANTILE)
     limits = group_quantile(near, by, SPEND_QUANTILE, "spend_limit")
-    # One row per hot group: at most skew.MAX_HOT_KEYS rows.
-    stats = homes.join(limits, by, "full_outer")
     first_seen = (
         tx.groupBy(*by, "device_id")
         .agg(F.min(F.struct("timestamp", "txn_id")).alias("first"))
         .select(F.col("first.txn_id").alias("txn_id"), F.lit(1).alias("new_device"))
     )
+    # Both tables have one row per hot group: at most skew.MAX_HOT_KEYS rows.
+    known = join_on_group(tx, F.broadcast(homes), by, "left")
     return (
-        tx.join(F.broadcast(stats), by, "left")
+        join_on_group(known, F.broadcast(limits), by, "left")
         .join(first_seen, "txn_id", "left")
         .withColumn("new_device", F.coalesce("new_device", F.lit(0)))
         .withColumn("unusual_location", _away(F.col("location_id"), F.col("home")))

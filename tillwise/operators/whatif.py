@@ -112,6 +112,11 @@ def whatif_features(
     )
 
 
+def without_history(scenarios: DataFrame, history: DataFrame) -> DataFrame:
+    """Scenarios that cannot be evaluated: their user has no transactions."""
+    return scenarios.join(history.select("user_id").distinct(), _BY, "left_anti")
+
+
 def whatif_score(features: DataFrame, fraud_model: Classifier, forest: Forest) -> DataFrame:
     """Both model scores for every scenario."""
     return anomaly_score(fraud_model.score(features), forest)

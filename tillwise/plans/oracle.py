@@ -544,6 +544,19 @@ def statements() -> dict[str, str]:
                                       order by timestamp, txn_id) - 1 as occurrence
             from tx""",
         ),
+        "user_amount_p95": _with(
+            ["txc"],
+            f"""
+            select user_id, {_r("quantile_cont(amount, 0.95)", 6)} as p95
+            from txc group by user_id""",
+        ),
+        "amount_quantiles": _with(
+            ["tx"],
+            f"""
+            select 'amount_median' as metric, {_r("quantile_cont(amount, 0.5)", 6)} as value from tx
+            union all select 'amount_p95', {_r("quantile_cont(amount, 0.95)", 6)} from tx
+            union all select 'location_median', {_r("quantile_cont(location_id, 0.5)", 6)} from tx""",
+        ),
         "fraud_rate_by_decile": _with(
             ["tx"],
             f"""
@@ -754,6 +767,12 @@ def statements() -> dict[str, str]:
             join seen s on c.scenario_id = s.scenario_id and c.device_id = s.device_id
             where c.added = 1""",
         ),
+        "whatif_without_history": _with(
+            ["tx", "scenarios"],
+            """
+            select scenario_id, user_id from scenarios
+            where user_id not in (select user_id from tx)""",
+        ),
         "stream_event_features": _with(
             ["tx", "homes"],
             """

@@ -7,7 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.functions.ordering import occurrence_index
+from tillwise.functions.ordering import (
+    exact_quantiles,
+    group_order_window,
+    group_quantile,
+    occurrence_index,
+)
 from tillwise.functions.skew import HOT_ROWS
 from tillwise.functions.text import yes_no
 from tillwise.operators import (
@@ -206,6 +211,29 @@ def device_occurrence(spark, folder):
     return counted.select("txn_id", "user_id", "device_id", F.col("occurrence").cast("long"))
 
 
+@query
+def user_amount_p95(spark, folder):
+    amounts = trained.clean_transactions(spark, folder).select("user_id", "amount")
+    near = group_order_window(amounts, ["user_id"], "amount", 0.95, HOT_ROWS)
+    return group_quantile(near, ["user_id"], 0.95, "p95").withColumns(
+        rounded("p95", digits=FINE_DIGITS)
+    )
+
+
+@query
+def amount_quantiles(spark, folder):
+    tx = feeds.transactions(spark, folder)
+    found = exact_quantiles(tx, {"amount": [0.5, 0.95], "location_id": [0.5]})
+    rows = [
+        ("amount_median", found["amount"][0]),
+        ("amount_p95", found["amount"][1]),
+        ("location_median", found["location_id"][0]),
+    ]
+    return spark.createDataFrame(rows, "metric string, value double").withColumns(
+        rounded("value", digits=FINE_DIGITS)
+    )
+
+
 # --- dashboard aggregates ---------------------------------------------------------
 
 
@@ -474,6 +502,13 @@ def whatif_features(spark, folder):
     return micros(made.withColumns(rounded("amount")))
 
 
+@query
+def whatif_without_history(spark, folder):
+    return whatif.without_history(
+        feeds.scenarios(spark, folder), feeds.transactions(spark, folder)
+    ).select("scenario_id", "user_id")
+
+
 @query
 def whatif_score(spark, folder):
     made = whatif.whatif_features(
