@@ -141,10 +141,10 @@ def calibrate(raked: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
     return rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(high)))
 
 
-def with_features(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``tokens`` and ``topic`` computed from ``text`` (replacing columns so named)."""
-    counted = docs.withColumn("tokens", token_count(F.col("text")))
-    return counted.withColumn("topic", topic_of(F.col("text"), F.col("tokens")))
+def features(docs: DataFrame, *keep: str) -> DataFrame:
+    """Columns ``keep`` of ``docs`` plus source, lang, and from the text ``tokens`` and ``topic``."""
+    counted = docs.select(*keep, "source", "lang", "text", token_count(F.col("text")).alias("tokens"))
+    return counted.withColumn("topic", topic_of(F.col("text"), F.col("tokens"))).drop("text")
 
 
 def draw(seed: int, *ids: str) -> Column:
@@ -180,7 +180,7 @@ def mix(
     )
 
 
-def weights(features: DataFrame, targets=None, kept_share: float = KEPT_SHARE) -> DataFrame:
+def weights(counted: DataFrame, targets=None, kept_share: float = KEPT_SHARE) -> DataFrame:
     """Calibrated cells of a table with ``tokens`` and the dimensions, written."""
-    cells = materialise(cells_of(features), "mix-cells")
+    cells = materialise(cells_of(counted), "mix-cells")
     return materialise(calibrate(rake(cells, targets or EXPONENTS), kept_share), "mix-weights")

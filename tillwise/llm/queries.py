@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import bpe, license_scan, mixing, pii, simhash, warc
+from tillwise.llm import ann_graph, bpe, chat, knn_join, license_scan, mixing, pii, simhash, toxicity, warc
 from tillwise.workspace import materialise
 
 # The key of the registered query; deployments pass their own.
@@ -30,6 +30,11 @@ def _ids_sha256(lists: pa.Array) -> pa.Array:
     return pa.array(digests, pa.string())
 
 
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return knn_join.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode(table(spark, folder, "documents"), TOKENIZER)
     return bpe.decode(encoded, TOKENIZER).select(
@@ -49,13 +54,25 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann_graph.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    features = materialise(
-        mixing.with_features(documents).select("doc_id", "source", "lang", "topic", "tokens"),
-        "mix-features",
+    counted = materialise(mixing.features(documents, "doc_id"), "mix-features")
+    return mixing.mix(counted, mixing.weights(counted))
+
+
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
+        "conv_id long, turn long, role string, text string",
     )
-    return mixing.mix(features, mixing.weights(features))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_windows(rows.unionByName(extra)))
 
 
 def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,6 +80,20 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymise(documents, PII_KEY)
 
 
+def toxicity_model(spark: SparkSession, documents: DataFrame, folder: str) -> dict:
+    """Trained on the labelled documents that are not held out."""
+    labels = table(spark, folder, "labels").where(~toxicity.held_out())
+    return toxicity.train(documents, labels)
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    scored = toxicity.score(documents, toxicity_model(spark, documents, folder))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "spans"
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     manifest = warc.archive_pages(table(spark, folder, "pages"))
     records = warc.read_archives(manifest)
@@ -76,13 +107,100 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _list(values) -> str:
+    return ", ".join(values)
+
+
+def _license_sql() -> str:
+    """The scan in DuckDB's dialect: the same levelling, digests of the known texts inline."""
+    level = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    for pattern, put in (
+        ("https?://", ""), ("&", " and "),
+        (r"\n[^a-z0-9\n]*(copyright|\(c\)|©)[^a-z\n]*[0-9][0-9][0-9][0-9][^\n]*", "\n"),
+        (r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f©‘’“”–—]+", " "),
+    ):
+        level = f"regexp_replace({level}, '{pattern}', '{put}', 'g')"
+    for old, new in license_scan.SPELLINGS:
+        level = f"replace({level}, '{old}', '{new}')"
+    level = f"regexp_replace({level}, ' ?\n ?', '\n', 'g')"
+    known = _list(
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in license_scan.KNOWN
+    )
+    return f"""
+    with texts as (
+        select doc_id, chr(10) || coalesce(text, '') as text, null as license from documents
+        union all select null, chr(10) || t, l from (values {known}) k(l, t)
+    ), level as (
+        select doc_id, license, string_split({level}, chr(10)) as lines from texts
+    ), units as (
+        select doc_id, license, lines,
+               sha256(trim(regexp_replace(array_to_string(lines, ' '), ' +', ' ', 'g'))) as digest
+        from level
+    ), known as (
+        select distinct license, digest from units where license is not null
+    ), hits as (
+        select doc_id, u.digest, list_sort(list(distinct k.license)) as notices
+        from (select doc_id, digest, unnest(list_transform(lines, x -> trim(x))) as line
+              from units where license is null) u
+        join known k on k.digest = sha256(u.line)
+        where line <> '' group by all
+    ), whole as (select digest, min(license) as license from known group by digest)
+    select u.doc_id, u.digest, w.license, coalesce(h.notices, []::varchar[]) as notices
+    from (select * from units where license is null) u
+    left join whole w on w.digest = u.digest
+    left join hits h on h.doc_id is not distinct from u.doc_id and h.digest = u.digest
+    """
+
+
+TOPK_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as q from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+), scored as (
+    select a.vec_id as query_id, b.vec_id,
+           list_inner_product(a.q, b.q)::bigint as score
+    from v a join v b on b.vec_id <> a.vec_id where a.vec_id % 50 = 0
+), ranked as (
+    select query_id, vec_id, score,
+           row_number() over (partition by query_id order by score desc, vec_id) as rank
+    from scored
+)
+select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 5
+"""
+
+WARC_SQL = """
+with p as (
+    select page_id, encode(coalesce(html, '')) as body from pages
+), d as (
+    select page_id, octet_length(body) as payload_bytes, sha1(body) as hex from p
+), g as (
+    select *, max(page_id) over (partition by hex, payload_bytes) as last from d
+)
+select page_id, payload_bytes::bigint as payload_bytes,
+       array_to_string(list_transform(range(0, 8), i ->
+           array_to_string(list_transform([15, 10, 5, 0], s ->
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      (('0x' || substr(hex, (i * 5 + 1)::integer, 5))::integer >> s) % 32 + 1, 1)), '')
+       ), '') as payload_digest,
+       case when page_id is distinct from last and last is not null
+            then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from last then last end as refers_to,
+       null::varchar as problem
+from g
+"""
+
 REGISTRY = {
+    "op1_topk": op1_topk,
     "op2_bpe": op2_bpe,
     "op3_license": op3_license,
     "op4_simhash": op4_simhash,
+    "op5_ann": op5_ann,
     "op6_mixing": op6_mixing,
+    "op7_chat": op7_chat,
     "op8_pii": op8_pii,
+    "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op1_topk": TOPK_SQL, "op3_license": _license_sql(), "op10_warc": WARC_SQL}

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillwise.llm.components import components
@@ -227,6 +228,18 @@ def links(fps: DataFrame, key_limit: int = KEY_LIMIT) -> DataFrame:
     )
 
 
+def _roots(marked: DataFrame, key: Column) -> DataFrame:
+    """Per distinct ``fp``: ``root``, the same for linked ones, and ``least``, its smallest key."""
+    distinct = materialise(marked.groupBy("fp").agg(F.min(key).alias("least")), "simhash-distinct")
+    groups = components(links(distinct.select("fp")))
+    return materialise(
+        distinct.join(groups, F.col("fp") == F.col("node"), "left").select(
+            "fp", "least", F.coalesce("component", "fp").alias("root")
+        ),
+        "simhash-roots",
+    )
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, fp, fingerprint, component_id`` of every row of ``docs``.
 
@@ -235,16 +248,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     unless a component has no other. Texts without words have fingerprint zero and
     link like any other. Repeated rows are repeated. Other columns are not read.
     """
-    marked = materialise(
-        fingerprints(docs.select(id_col, text_col), text_col).select(id_col, "fp"), "simhash-fp"
-    )
-    distinct = materialise(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-distinct")
-    groups = components(links(distinct.select("fp")))
-    root = distinct.join(groups, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("root")
-    )
+    chosen = docs.select(F.col(id_col), F.col(text_col))
+    marked = materialise(fingerprints(chosen, text_col).select(id_col, "fp"), "simhash-fp")
+    root = _roots(marked, F.col(id_col))
     smallest = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = root.select("fp", "root").join(smallest, "root").select("fp", "component_id")
+    found = root.join(smallest, "root").select("fp", "component_id")
     return marked.join(found, "fp").select(
         id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of linked texts: that of the smallest id.
+
+    Null ids come last; of rows that share id and fingerprint, the smallest text stays.
+    """
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+    )
+    marked = materialise(fingerprints(packed).select("row", "id", "text", "fp"), "simhash-docs")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))
+    winners = _roots(marked, order).groupBy("root").agg(
+        F.min(F.struct("least", "fp")).alias("w")
+    ).select(F.col("w.least.id").alias("w_id"), F.col("w.fp").alias("w_fp"))
+    kept = marked.join(winners, F.expr("id <=> w_id and fp = w_fp"), "left_semi")
+    first = W.partitionBy("id", "fp").orderBy("text")
+    return (
+        kept.withColumn("n", F.row_number().over(first)).where(F.col("n") == 1).select("row.*")
+    )
