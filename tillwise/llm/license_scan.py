@@ -111,7 +111,7 @@ def _units(text: Column) -> Column:
     """Canonical forms to look up: of the entire text, then of its distinct lines."""
     lines = F.split(canonical_lines(F.concat(F.lit("\n"), text)), "\n")
     whole = F.trim(F.regexp_replace(F.array_join(lines, " "), " +", " "))
-    each = F.transform(lines, F.trim)
+    each = F.transform(lines, lambda line: F.trim(line))
     return F.struct(whole.alias("whole"), F.array_distinct(each).alias("lines"))
 
 

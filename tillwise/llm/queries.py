@@ -8,6 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tillwise.llm import ann_graph, bpe, chat, knn_join, license_scan, mixing, pii, simhash, toxicity, warc
 from tillwise.workspace import materialise
@@ -21,7 +22,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _ids_sha256(lists: pa.Array) -> pa.Array:
     digests = []
     for ids in lists:
@@ -140,7 +141,7 @@ def _license_sql() -> str:
         select distinct license, digest from units where license is not null
     ), hits as (
         select doc_id, u.digest, list_sort(list(distinct k.license)) as notices
-        from (select doc_id, digest, unnest(list_transform(lines, x -> trim(x))) as line
+        from (select doc_id, digest, unnest([trim(x) for x in lines]) as line
               from units where license is null) u
         join known k on k.digest = sha256(u.line)
         where line <> '' group by all
@@ -154,9 +155,9 @@ def _license_sql() -> str:
 
 TOPK_SQL = """
 with v as (
-    select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as q from embeddings
+    select vec_id, [floor(256 * x::double) for x in embedding] as q from embeddings
     where embedding is not null
-      and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0
+      and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
 ), scored as (
     select a.vec_id as query_id, b.vec_id,
            list_inner_product(a.q, b.q)::bigint as score
@@ -178,11 +179,11 @@ with p as (
     select *, max(page_id) over (partition by hex, payload_bytes) as last from d
 )
 select page_id, payload_bytes::bigint as payload_bytes,
-       array_to_string(list_transform(range(0, 8), i ->
-           array_to_string(list_transform([15, 10, 5, 0], s ->
-               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                      (('0x' || substr(hex, (i * 5 + 1)::integer, 5))::integer >> s) % 32 + 1, 1)), '')
-       ), '') as payload_digest,
+       array_to_string([
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  (('0x' || substr(hex, (n // 4 * 5 + 1)::integer, 5))::integer
+                   >> (15 - n % 4 * 5)::integer) % 32 + 1, 1)
+           for n in range(0, 32)], '') as payload_digest,
        case when page_id is distinct from last and last is not null
             then 'revisit' else 'response' end as record_type,
        case when page_id is distinct from last then last end as refers_to,

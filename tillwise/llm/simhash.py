@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tillwise.llm.components import components
 from tillwise.workspace import materialise
@@ -69,7 +70,7 @@ def fingerprint(text: bytes) -> int:
     return int(np.packbits(votes * 2 > len(first), bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def _fingerprints(texts: pa.Array) -> pa.Array:
     found = [fingerprint(t.as_py() or b"") for t in texts]
     return pa.array(np.array(found, dtype=np.uint64).view(np.int64))
