@@ -4,7 +4,7 @@ A text is split into words at ASCII white space. Each distinct word is encoded
 once, and its ids return to every position it came from:
 
 1. *Split.* Each task reads its documents into chunks of about ``chunk_bytes``
-   of text. A chunk keeps its distinct words (numbered by first occurrence) and,
+   of text. A chunk keeps its distinct words (numbered by frequency) and,
    for every document, the numbers of its words in order. Both are written, so
    the numbering is fixed whatever is recomputed later.
 2. *Encode.* The distinct words of all chunks are dealt by hash of the word, so
@@ -44,6 +44,10 @@ from tillwise.workspace import materialise
 CHUNK_BYTES = 32 << 20
 CACHED_WORDS = 400_000
 MAX_PARTS = 4096
+_SLICE = 1 << 20
+
+# What the chunks write and shuffle is mostly word numbers; they are worth the time to press.
+_LEVEL = 9
 
 _CHUNKS = "chunk string, part int, keys array<bigint>, meta binary, body binary"
 
@@ -51,7 +55,7 @@ _CHUNKS = "chunk string, part int, keys array<bigint>, meta binary, body binary"
 def _pack(values: np.ndarray) -> bytes:
     """Unsigned 32-bit integers, byte planes apart, compressed."""
     planes = np.ascontiguousarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=_LEVEL).compress(planes.tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -61,13 +65,18 @@ def _unpack(data: bytes) -> np.ndarray:
 
 def _chunk_rows(keys, numbers, counts, known, parts) -> pa.RecordBatch:
     chunk = uuid.uuid4().hex
-    words = list(known)
+    # Numbered by falling frequency, most numbers are small.
+    flat = np.concatenate(numbers) if numbers else np.empty(0, np.uint32)
+    often = np.argsort(-np.bincount(flat, minlength=len(known)), kind="stable")
+    number = np.empty(len(known), np.uint32)
+    number[often] = np.arange(len(known), dtype=np.uint32)
+    first = list(known)
+    words = [first[i] for i in often]
     part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
     order = np.argsort(part, kind="stable")
     ends = np.searchsorted(part[order], np.arange(parts + 1))
-    press = zstandard.ZstdCompressor(level=3)
-    columns = [[chunk], [-1], [keys], [_pack(np.array(counts))],
-               [_pack(np.concatenate(numbers) if numbers else np.empty(0))]]
+    press = zstandard.ZstdCompressor(level=_LEVEL)
+    columns = [[chunk], [-1], [keys], [_pack(np.array(counts))], [_pack(number[flat])]]
     for p in range(parts):
         at = order[ends[p] : ends[p + 1]]
         if len(at):
@@ -180,16 +189,20 @@ def _assemble(rows: pa.Table) -> pa.Table:
         width = np.empty(len(order), np.int64)
         starts[order] = np.cumsum(many) - many
         width[order] = many
-        each = width[numbers]
-        ends = np.cumsum(each)
-        # Position k of the output lies in some word; walk on from that word's first id.
-        take = np.arange(ends[-1]) + np.repeat(starts[numbers] - (ends - each), each)
-        values = flat[take]
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        ends = np.concatenate([[0], np.cumsum(width[numbers])])
+        edges = ends[bounds]
+        values = np.empty(edges[-1], np.int32)
+        for a in range(0, len(numbers), _SLICE):
+            some = numbers[a : a + _SLICE]
+            each, low, high = width[some], ends[a], ends[a + len(some)]
+            # Position k lies in some word; walk on from that word's first id.
+            take = np.arange(low, high) + np.repeat(starts[some] - ends[a : a + len(some)], each)
+            values[low:high] = flat[take]
     else:
-        values, edges = np.empty(0, np.uint32), np.zeros(len(counts) + 1, np.int64)
+        values, edges = np.empty(0, np.int32), np.zeros(len(counts) + 1, np.int64)
     lists = pa.ListArray.from_arrays(
-        pa.array(edges.astype(np.int32)), pa.array(values.astype(np.int32))
+        pa.array(edges.astype(np.int32)), pa.array(values)
     )
     return pa.table(
         {"key": pa.array(keys, pa.int64()), "n_tokens": pa.array(np.diff(edges)), "ids": lists}
