@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 
 from tillwise.workspace import materialise
 
-CHUNK_BYTES = 32 << 20
-CACHED_WORDS = 400_000
+CHUNK_BYTES = 16 << 20
+CACHED_WORDS = 100_000
 MAX_PARTS = 4096
 _SLICE = 1 << 20
 
@@ -72,11 +72,14 @@ def _chunk_rows(keys, numbers, counts, known, parts) -> pa.RecordBatch:
     number[often] = np.arange(len(known), dtype=np.uint32)
     first = list(known)
     words = [first[i] for i in often]
+    del first, often
+    known.clear()
     part = np.fromiter((zlib.crc32(w) % parts for w in words), np.int64, len(words))
     order = np.argsort(part, kind="stable")
     ends = np.searchsorted(part[order], np.arange(parts + 1))
     press = zstandard.ZstdCompressor(level=_LEVEL)
     columns = [[chunk], [-1], [keys], [_pack(np.array(counts))], [_pack(number[flat])]]
+    del flat
     for p in range(parts):
         at = order[ends[p] : ends[p + 1]]
         if len(at):
@@ -142,9 +145,14 @@ def _check(path: str) -> None:
 def _encode_words(batches, path: str) -> Iterator[pa.RecordBatch]:
     tokenizer = load_tokenizer(path)
     encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    known: dict[bytes, np.ndarray] = {}
+    known: dict[bytes, bytes] = {}
+    part = None
     for batch in batches:
         for i in range(batch.num_rows):
+            if part != batch.column(1)[i].as_py():
+                # No word is in two parts.
+                part = batch.column(1)[i].as_py()
+                known.clear()
             words = zstandard.ZstdDecompressor().decompress(batch.column(4)[i].as_py()).split(b" ")
             new = [w for w in words if w not in known]
             if len(known) + len(new) > CACHED_WORDS:
@@ -154,9 +162,9 @@ def _encode_words(batches, path: str) -> Iterator[pa.RecordBatch]:
                 some = new[start : start + 5000]
                 found = encode([w.decode("utf-8") for w in some], add_special_tokens=False)
                 for word, encoding in zip(some, found):
-                    known[word] = np.array(encoding.ids, np.uint32)
+                    known[word] = np.array(encoding.ids, "<u4").tobytes()
             ids = [known[w] for w in words]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             at = np.cumsum(_unpack(batch.column(3)[i].as_py()))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -164,7 +172,7 @@ def _encode_words(batches, path: str) -> Iterator[pa.RecordBatch]:
                     pa.array([batch.column(1)[i].as_py()], pa.int32()),
                     pa.array([None], pa.list_(pa.int64())),
                     pa.array([_pack(np.stack([at, lengths]).reshape(-1))], pa.binary()),
-                    pa.array([_pack(np.concatenate(ids))], pa.binary()),
+                    pa.array([_pack(np.frombuffer(b"".join(ids), "<u4"))], pa.binary()),
                 ],
                 ["chunk", "part", "keys", "meta", "body"],
             )
@@ -230,8 +238,11 @@ def encode(
         ),
         "bpe-chunks",
     )
-    words = chunks.where("part >= 0").repartition(parts, "part").mapInArrow(
-        lambda batches: _encode_words(batches, tokenizer), _CHUNKS
+    words = (
+        chunks.where("part >= 0")
+        .repartition(parts, "part")
+        .sortWithinPartitions("part")
+        .mapInArrow(lambda batches: _encode_words(batches, tokenizer), _CHUNKS)
     )
     return (
         chunks.where("part = -1")
