@@ -20,16 +20,15 @@ Node rows, pools and beams have fixed widths; groups solved in one task have at
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillwise.llm.tables import bucketed
 from tillwise.llm.vectors import distinct, stack, usable
-from tillwise.workspace import fresh_path, materialise
+from tillwise.workspace import materialise
 
 NEIGHBOURS = 24
 REVERSE = 20
@@ -334,7 +333,6 @@ def _links(graph: DataFrame, k: int) -> DataFrame:
 
     Bucketing lets every hop join without moving the graph.
     """
-    spark = graph.sparkSession
     pairs = graph.select(F.col("node").alias("a"), F.explode("ids").alias("b"))
     back = pairs.withColumn(
         "r", F.row_number().over(W.partitionBy("b").orderBy(F.xxhash64("a", "b")))
@@ -343,11 +341,7 @@ def _links(graph: DataFrame, k: int) -> DataFrame:
     rows = edges.join(
         graph.select(F.col("node").alias("b"), "vec"), "b"
     ).groupBy(F.col("a").alias("node")).agg(F.collect_list(F.struct("b", "vec")).alias("near"))
-    name = f"ann_links_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (rows.write.bucketBy(buckets, "node").sortBy("node")
-     .option("path", fresh_path(spark, "ann-links")).saveAsTable(name))
-    return spark.table(name)
+    return bucketed(rows, "node", "ann-links")
 
 
 _STATE = "query long, vec binary, ids array<long>, scores array<float>, done array<boolean>"

@@ -38,8 +38,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tillwise.workspace import materialise
+from tillwise.llm.tables import bucketed
 
 CHUNK_BYTES = 16 << 20
 CACHED_WORDS = 100_000
@@ -178,19 +179,17 @@ def _encode_words(batches, path: str) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _assemble(rows: pa.Table) -> pa.Table:
+def _assemble(texts: pa.Table, words: pa.Table) -> pa.Table:
     """The ids of a chunk's documents from word numbers and the words' ids."""
+    keys = texts["keys"][0].as_py()
+    counts = _unpack(texts["meta"][0].as_py()).astype(np.int64)
+    numbers = _unpack(texts["body"][0].as_py())
     at, lengths, ids = [], [], []
-    for i in range(rows.num_rows):
-        if rows["part"][i].as_py() == -1:
-            keys = rows["keys"][i].as_py()
-            counts = _unpack(rows["meta"][i].as_py()).astype(np.int64)
-            numbers = _unpack(rows["body"][i].as_py())
-        else:
-            both = _unpack(rows["meta"][i].as_py()).astype(np.int64).reshape(2, -1)
-            at.append(both[0])
-            lengths.append(both[1])
-            ids.append(_unpack(rows["body"][i].as_py()))
+    for i in range(words.num_rows):
+        both = _unpack(words["meta"][i].as_py()).astype(np.int64).reshape(2, -1)
+        at.append(both[0])
+        lengths.append(both[1])
+        ids.append(_unpack(words["body"][i].as_py()))
     if at:
         order, many, flat = map(np.concatenate, (at, lengths, ids))
         starts = np.empty(len(order), np.int64)
@@ -232,10 +231,12 @@ def encode(
     _check(tokenizer)
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MAX_PARTS, max(16, 2 * shuffles))
-    chunks = materialise(
+    # In buckets, so that the word numbers are not moved again to meet the ids.
+    chunks = bucketed(
         docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary")).mapInArrow(
             lambda batches: _split(batches, parts, chunk_bytes), _CHUNKS
         ),
+        "chunk",
         "bpe-chunks",
     )
     words = (
@@ -246,8 +247,8 @@ def encode(
     )
     return (
         chunks.where("part = -1")
-        .unionByName(words)
         .groupBy("chunk")
+        .cogroup(words.groupBy("chunk"))
         .applyInArrow(_assemble, "key long, n_tokens long, ids array<int>")
         .withColumnRenamed("key", id_col)
     )
@@ -267,22 +268,17 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
     pieces = encoded.sparkSession.sparkContext.broadcast(
         [loaded.id_to_token(i) for i in range(size)]
     )
-    at = encoded.columns.index(ids_col)
-    types = [f.dataType.simpleString() for f in encoded.schema]
-    names = [*encoded.columns, "decoded"]
-    schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, [*types, "string"]))
 
-    def join(batches):
+    @F.arrow_udf(StringType())
+    def join(lists: pa.Array) -> pa.Array:
         table = pieces.value
-        for batch in batches:
-            texts = []
-            for ids in batch.column(at):
-                found = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else ()
-                texts.append(" ".join([
-                    table[i] for i in found if 0 <= i < size and table[i] is not None
-                ]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names
-            )
-
-    return encoded.mapInArrow(join, schema)
+        texts = []
+        for ids in lists:
+            found = ids.values.to_pylist() if ids.is_valid else ()
+            texts.append(" ".join([
+                table[i] for i in found
+                if i is not None and 0 <= i < size and table[i] is not None
+            ]))
+        return pa.array(texts, pa.string())
+
+    return encoded.withColumn("decoded", join(ids_col))
