@@ -38,7 +38,6 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tillwise.llm.tables import bucketed
 
@@ -46,6 +45,7 @@ CHUNK_BYTES = 16 << 20
 CACHED_WORDS = 100_000
 MAX_PARTS = 4096
 _SLICE = 1 << 20
+_DECODED_ROWS = 256
 
 # What the chunks write and shuffle is mostly word numbers; they are worth the time to press.
 _LEVEL = 9
@@ -179,7 +179,7 @@ def _encode_words(batches, path: str) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _assemble(texts: pa.Table, words: pa.Table) -> pa.Table:
+def _assemble(texts: pa.Table, words: pa.Table, packed: bool) -> pa.Table:
     """The ids of a chunk's documents from word numbers and the words' ids."""
     keys = texts["keys"][0].as_py()
     counts = _unpack(texts["meta"][0].as_py()).astype(np.int64)
@@ -208,12 +208,13 @@ def _assemble(texts: pa.Table, words: pa.Table) -> pa.Table:
             values[low:high] = flat[take]
     else:
         values, edges = np.empty(0, np.int32), np.zeros(len(counts) + 1, np.int64)
-    lists = pa.ListArray.from_arrays(
-        pa.array(edges.astype(np.int32)), pa.array(values)
-    )
-    return pa.table(
-        {"key": pa.array(keys, pa.int64()), "n_tokens": pa.array(np.diff(edges)), "ids": lists}
-    )
+    counted = {"key": pa.array(keys, pa.int64()), "n_tokens": pa.array(np.diff(edges))}
+    if packed:
+        at, data = pa.py_buffer((edges * 4).astype(np.int32)), pa.py_buffer(values)
+        ids = pa.Array.from_buffers(pa.binary(), len(keys), [None, at, data])
+    else:
+        ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values))
+    return pa.table({**counted, "ids": ids})
 
 
 def encode(
@@ -222,9 +223,12 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     chunk_bytes: int = CHUNK_BYTES,
+    packed: bool = False,
 ) -> DataFrame:
     """``id_col, n_tokens, ids`` of every row, as the tokenizer encodes the whole text.
 
+    ``ids`` is an array, or with ``packed`` binary: little-endian 32-bit integers.
+
     One row out for each row in: repeated rows are repeated, null ids stay null, a
     null or empty text has no ids. Other columns of ``docs`` are not read.
     """
@@ -249,13 +253,16 @@ def encode(
         chunks.where("part = -1")
         .groupBy("chunk")
         .cogroup(words.groupBy("chunk"))
-        .applyInArrow(_assemble, "key long, n_tokens long, ids array<int>")
+        .applyInArrow(
+            lambda texts, words: _assemble(texts, words, packed),
+            f"key long, n_tokens long, ids {'binary' if packed else 'array<int>'}",
+        )
         .withColumnRenamed("key", id_col)
     )
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
-    """``encoded`` with a column ``decoded``: the pieces of ``ids_col`` in order.
+    """``encoded`` with a column ``decoded``: the pieces of ``ids_col`` (array or packed) in order.
 
     Equal to the tokenizer's decode with special tokens kept, for tokenizers without
     a decoder of their own (pieces are joined by a space). Null ids decode to the
@@ -269,16 +276,32 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
         [loaded.id_to_token(i) for i in range(size)]
     )
 
-    @F.arrow_udf(StringType())
-    def join(lists: pa.Array) -> pa.Array:
+    at = encoded.columns.index(ids_col)
+    types = [f.dataType.simpleString() for f in encoded.schema]
+    names = [*encoded.columns, "decoded"]
+    schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, [*types, "string"]))
+
+    def numbers(ids: pa.Scalar) -> list:
+        if not ids.is_valid:
+            return []
+        if isinstance(ids, pa.BinaryScalar):
+            return np.frombuffer(ids.as_py(), "<u4").tolist()
+        return ids.values.to_pylist()
+
+    def join(batches):
         table = pieces.value
-        texts = []
-        for ids in lists:
-            found = ids.values.to_pylist() if ids.is_valid else ()
-            texts.append(" ".join([
-                table[i] for i in found
-                if i is not None and 0 <= i < size and table[i] is not None
-            ]))
-        return pa.array(texts, pa.string())
-
-    return encoded.withColumn("decoded", join(ids_col))
+        for batch in batches:
+            for start in range(0, batch.num_rows, _DECODED_ROWS):
+                some = batch.slice(start, _DECODED_ROWS)
+                texts = [
+                    " ".join([
+                        table[i] for i in numbers(ids)
+                        if i is not None and 0 <= i < size and table[i] is not None
+                    ])
+                    for ids in some.column(at)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(texts, pa.string())], names
+                )
+
+    return encoded.mapInArrow(join, schema)

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tillwise.llm import ann_graph, bpe, chat, knn_join, license_scan, mixing, pii, simhash, toxicity, warc
 from tillwise.workspace import materialise
@@ -22,26 +18,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@F.arrow_udf(StringType())
-def _ids_sha256(lists: pa.Array) -> pa.Array:
-    digests = []
-    for ids in lists:
-        data = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        digests.append(hashlib.sha256(data).hexdigest())
-    return pa.array(digests, pa.string())
-
-
 def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return knn_join.top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, folder, "documents"), TOKENIZER)
+    encoded = bpe.encode(table(spark, folder, "documents"), TOKENIZER, packed=True)
     return bpe.decode(encoded, TOKENIZER).select(
         "doc_id",
         "n_tokens",
-        _ids_sha256("ids").alias("ids_sha256"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
