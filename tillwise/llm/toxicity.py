@@ -26,6 +26,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,9 @@ from pyspark.sql import functions as F
 
 from tillwise.workspace import materialise
 
-TRAIN_DOCS = 2000
-TRAIN_TOKENS = 400
-TRAIN_CHARS = 12_000
+TRAIN_DOCS = 1000
+TRAIN_TOKENS = 300
+TRAIN_CHARS = 6_000
 MAX_WEIGHTS = 20_000
 MIN_DOCS = 3
 #: A token feature is taken as toxic where the odds of its documents are this much higher.
@@ -45,9 +46,9 @@ LOG_ODDS = 3.0
 ERRORS, CERTAIN = 2.0, 1.5
 STEPS = 40
 THRESHOLD = 0.5
-_CACHED_WORDS = 400_000
-_BATCH_TOKENS = 1_000_000
-_BATCH_ROWS = 2000
+_CACHED_WORDS = 200_000
+_BATCH_TOKENS = 300_000
+_BATCH_ROWS = 500
 
 TOKEN = re.compile(r"[^\W_]+")
 
@@ -184,7 +185,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
             for f in own:
                 where.extend((t, s, at[f]))
             tags[t, s] = labels[s] and any(f in marks for f in own)
-    rows, seqs, feats = np.array(where, dtype=np.int64).reshape(-1, 3).T.copy()
+    rows, seqs, feats = np.frombuffer(where, dtype=np.int32).reshape(-1, 3).T.astype(np.int64)
     inside = np.arange(steps)[:, None] < lengths[None, :]
     size = len(at)
     before = rows + 1 < lengths[seqs]  # the feature's token has a token after it
@@ -263,7 +264,7 @@ class Tagger:
 
     def _learn(self) -> None:
         """Emissions of the words numbered since the last call."""
-        new = list(self.numbers)[len(self.own) :]
+        new = list(islice(self.numbers, len(self.own), None))
         found = [features_of(w) for w in new]
         for name, of in (("own", "weights"), ("near", "near")):
             get = self.model[of].get
@@ -371,23 +372,24 @@ def score(
     def run(batches):
         tagger = Tagger(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-            scores, spans = [], []
-            for start in range(0, len(texts), _BATCH_ROWS):
-                some = texts[start : start + _BATCH_ROWS]
-                for text, p in zip(some, tagger.tag(some)):
-                    scores.append(tagger.score(p))
+            for start in range(0, batch.num_rows, _BATCH_ROWS):
+                some = batch.slice(start, _BATCH_ROWS)
+                texts = [t or "" for t in some.column(len(keep)).to_pylist()]
+                tags = tagger.tag(texts)
+                scores = [tagger.score(p) for p in tags]
+                spans = []
+                for text, p in zip(texts, tags):
                     hits = np.flatnonzero(p >= 0.5)
                     spans.append(_places(text, hits, p) if len(hits) else [])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[: len(keep)],
-                    pa.array(scores, pa.float64()),
-                    pa.array([int(s >= THRESHOLD) for s in scores], pa.int32()),
-                    pa.array(spans, pa.list_(span)),
-                ],
-                [*keep, "score", "predicted", "spans"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *some.columns[: len(keep)],
+                        pa.array(scores, pa.float64()),
+                        pa.array([int(x >= THRESHOLD) for x in scores], pa.int32()),
+                        pa.array(spans, pa.list_(span)),
+                    ],
+                    [*keep, "score", "predicted", "spans"],
+                )
 
     columns = [F.col(f"`{c}`") for c in keep]
     return docs.select(*columns, F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
