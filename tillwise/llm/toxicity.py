@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from tillwise.workspace import materialise
 
-TRAIN_DOCS = 1000
-TRAIN_TOKENS = 300
-TRAIN_CHARS = 6_000
+TRAIN_DOCS = 1600
+TRAIN_TOKENS = 400
+TRAIN_CHARS = 12_000
 MAX_WEIGHTS = 20_000
 MIN_DOCS = 3
 #: A token feature is taken as toxic where the odds of its documents are this much higher.
@@ -69,9 +69,9 @@ def _chain(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray):
     first. Odds of the two tags are all that needs to be carried; the transitions
     bound them, so they neither vanish nor overflow.
     """
-    own = np.exp(np.clip(scores, -60, 60))
+    own = np.exp(np.clip(scores, -30, 30), dtype=np.float32)
     left, right = np.ones_like(own), np.ones_like(own)
-    (e00, e01), (e10, e11) = np.exp(np.clip(trans, -30, 30))
+    (e00, e01), (e10, e11) = np.exp(np.clip(trans, -15, 15)).astype(np.float32)
     live = np.searchsorted(-lengths, -np.arange(len(scores)), side="left")
     for t in range(1, len(scores)):
         n = live[t]
@@ -98,7 +98,7 @@ def _expected(scores, lengths, trans, inside) -> tuple[np.ndarray, np.ndarray]:
     both = inside[1:]
     before, after = (left * own)[:-1][both], (own * right)[1:][both]
     four = np.stack([np.ones_like(before), after, before, before * after])
-    four *= np.exp(np.clip(trans, -30, 30)).reshape(4, 1)
+    four *= np.exp(np.clip(trans, -15, 15)).astype(np.float32).reshape(4, 1)
     return (four / four.sum(axis=0)).sum(axis=1).reshape(2, 2), odds / (1 + odds)
 
 
@@ -177,7 +177,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
     docs, labels = [docs[i] for i in order], labels[order]
     lengths = np.array([len(d) for d in docs])
     steps = max(1, int(lengths.max(initial=0)))
-    tags = np.zeros((steps, len(docs)))
+    tags = np.zeros((steps, len(docs)), np.float32)
     where = array("i")  # token, sequence, feature of every feature that occurs
     for s, words in enumerate(docs):
         for t, word in enumerate(words):
@@ -198,7 +198,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
         own, near = x[:size], x[size : 2 * size]
         values = np.concatenate([own[feats], near[feats[before]], near[feats[after]]])
         scores = np.bincount(cells, values, tags.size).reshape(tags.shape)
-        return scores + x[2 * size]
+        return (scores + x[2 * size]).astype(np.float32)
 
     both = inside[1:]
     had = np.array([
