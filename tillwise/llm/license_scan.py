@@ -101,7 +101,7 @@ def canonical_lines(text: Column) -> Column:
     out = F.translate(text, _UPPER, _UPPER.lower())
     out = F.regexp_replace(out, r"https?://", "")
     out = F.regexp_replace(out, "&", " and ")
-    out = F.regexp_replace(out, "\n[^a-z0-9\n]*(copyright|\\(c\\)|©)[^a-z\n]*[0-9][0-9][0-9][0-9][^\n]*", "\n")
+    out = F.regexp_replace(out, "\n[^a-z0-9\n]*(copyright|\\(c\\)|©)( |\\(c\\)|©)*[0-9][0-9][0-9][0-9][^\n]*", "\n")
     out = F.regexp_replace(out, "[\\x00-\\x09\\x0b-\\x2f\\x3a-\\x60\\x7b-\\x7f©‘’“”–—]+", " ")
     out = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, out)
     return F.regexp_replace(out, " ?\n ?", "\n")

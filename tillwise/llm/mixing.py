@@ -161,8 +161,9 @@ def mix(
 ) -> DataFrame:
     """``docs`` (with the dimensions' columns) plus ``probability``, ``ratio`` and ``selected``.
 
-    Every row is kept, with its decision. Documents without tokens lie in no cell with
-    weight; they have probability 0. Rows with equal ids share one draw.
+    Every row is kept, with its decision. A document without tokens has its cell's
+    probability, and 0 where no document of the cell has tokens. Rows with equal ids
+    share one draw.
     """
     keyed = docs.withColumns({f"_cell_{d}": _category(d) for d in dimensions})
     side = cells.select(

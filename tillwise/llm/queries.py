@@ -104,7 +104,7 @@ def _license_sql() -> str:
     level = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     for pattern, put in (
         ("https?://", ""), ("&", " and "),
-        (r"\n[^a-z0-9\n]*(copyright|\(c\)|©)[^a-z\n]*[0-9][0-9][0-9][0-9][^\n]*", "\n"),
+        (r"\n[^a-z0-9\n]*(copyright|\(c\)|©)( |\(c\)|©)*[0-9][0-9][0-9][0-9][^\n]*", "\n"),
         (r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f©‘’“”–—]+", " "),
     ):
         level = f"regexp_replace({level}, '{pattern}', '{put}', 'g')"

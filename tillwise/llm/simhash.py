@@ -273,8 +273,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     winners = _roots(marked, order).groupBy("root").agg(
         F.min(F.struct("least", "fp")).alias("w")
     ).select(F.col("w.least.id").alias("w_id"), F.col("w.fp").alias("w_fp"))
-    kept = marked.join(winners, F.expr("id <=> w_id and fp = w_fp"), "left_semi")
-    first = W.partitionBy("id", "fp").orderBy("text")
+    # Joined and ranked by one key that is never null, so the texts are moved once.
+    keyed = marked.withColumn("h", F.xxhash64("id", "fp"))
+    chosen = winners.withColumn("w_h", F.xxhash64("w_id", "w_fp"))
+    same = "h = w_h and (fp ^ w_fp) = 0 and coalesce(id = w_id, id is null and w_id is null)"
+    kept = keyed.join(chosen, F.expr(same), "left_semi")
+    first = W.partitionBy("h", "id", "fp").orderBy("text")
     return (
         kept.withColumn("n", F.row_number().over(first)).where(F.col("n") == 1).select("row.*")
     )
