@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.workspace import materialise
+
 # Equivalent spellings, as licence comparison guidelines list them.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"),
@@ -89,38 +91,33 @@ KNOWN = (
     ("MIT", "SPDX-License-Identifier: MIT"),
 )
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
 def canonical_lines(text: Column) -> Column:
-    """``text`` with case, punctuation, copyright lines and spellings levelled; line ends stay.
+    """The lines of ``text`` with case, punctuation, copyright lines and spellings levelled.
 
-    ASCII letters are lowered and ASCII punctuation becomes white space; other scripts
-    are kept as they are.
+    ASCII punctuation becomes white space; letters of other scripts are kept.
     """
-    out = F.translate(text, _UPPER, _UPPER.lower())
-    out = F.regexp_replace(out, r"https?://", "")
-    out = F.regexp_replace(out, "&", " and ")
-    out = F.regexp_replace(out, "\n[^a-z0-9\n]*(copyright|\\(c\\)|©)( |\\(c\\)|©)*[0-9][0-9][0-9][0-9][^\n]*", "\n")
+    out = F.concat(F.lit("\n"), F.lower(text))
+    for old, new in (("https://", ""), ("http://", ""), ("&", " and ")):
+        out = F.replace(out, F.lit(old), F.lit(new))
+    out = F.regexp_replace(
+        out, "\n[^a-z0-9\n]*(copyright|\\(c\\)|©)( |\\(c\\)|©)*[0-9][0-9][0-9][0-9][^\n]*", "\n"
+    )
     out = F.regexp_replace(out, "[\\x00-\\x09\\x0b-\\x2f\\x3a-\\x60\\x7b-\\x7f©‘’“”–—]+", " ")
     out = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, out)
-    return F.regexp_replace(out, " ?\n ?", "\n")
+    lines = F.transform(F.split(out, "\n"), lambda line: F.trim(line))
+    return F.filter(lines, lambda line: line != "")
 
 
-def _units(text: Column) -> Column:
-    """Canonical forms to look up: of the entire text, then of its distinct lines."""
-    lines = F.split(canonical_lines(F.concat(F.lit("\n"), text)), "\n")
-    whole = F.trim(F.regexp_replace(F.array_join(lines, " "), " +", " "))
-    each = F.transform(lines, lambda line: F.trim(line))
-    return F.struct(whole.alias("whole"), F.array_distinct(each).alias("lines"))
+def _whole(lines: Column) -> Column:
+    return F.array_join(lines, " ")
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """``license, digest`` of the canonical forms of the known texts."""
+    """``license, length, digest`` of the canonical forms of the known texts."""
     texts = spark.createDataFrame(list(known), "license string, text string")
     return texts.select(
-        "license", F.sha2(_units(F.col("text"))["whole"], 256).alias("digest")
-    ).distinct()
+        "license", _whole(canonical_lines(F.col("text"))).alias("form")
+    ).select("license", F.length("form").alias("length"), F.sha2("form", 256).alias("digest")).distinct()
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=KNOWN) -> DataFrame:
@@ -133,14 +130,26 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=
     id are told apart by digest; where that agrees too, they share their notices.
     """
     spark = docs.sparkSession
-    units = docs.select(
-        F.col(id_col).alias("_id"), _units(F.coalesce(F.col(text_col), F.lit(""))).alias("u")
+    digests = known_digests(spark, known)
+    # A line of another length than all known forms has another digest.
+    lengths = [r.length for r in digests.select("length").distinct().collect()]
+    lines = docs.select(
+        F.col(id_col).alias("_id"),
+        canonical_lines(F.coalesce(F.col(text_col), F.lit(""))).alias("lines"),
+    )
+    digested = materialise(
+        lines.select(
+            "_id",
+            F.sha2(_whole(F.col("lines")), 256).alias("_digest"),
+            F.array_distinct(
+                F.filter("lines", lambda line: F.length(line).isin(lengths))
+            ).alias("lines"),
+        ),
+        "license-lines",
     )
-    digested = units.select("_id", F.sha2("u.whole", 256).alias("_digest"), "u.lines")
-    digests = F.broadcast(known_digests(spark, known))
+    digests = F.broadcast(digests.select("license", "digest"))
     hits = (
         digested.select("_id", "_digest", F.explode("lines").alias("line"))
-        .where("line <> ''")
         .withColumn("digest", F.sha2("line", 256))
         .join(digests, "digest")
         .groupBy("_id", "_digest")

@@ -101,16 +101,16 @@ def _list(values) -> str:
 
 def _license_sql() -> str:
     """The scan in DuckDB's dialect: the same levelling, digests of the known texts inline."""
-    level = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    level = "lower(text)"
+    for old, new in (("https://", ""), ("http://", ""), ("&", " and ")):
+        level = f"replace({level}, '{old}', '{new}')"
     for pattern, put in (
-        ("https?://", ""), ("&", " and "),
         (r"\n[^a-z0-9\n]*(copyright|\(c\)|©)( |\(c\)|©)*[0-9][0-9][0-9][0-9][^\n]*", "\n"),
         (r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f©‘’“”–—]+", " "),
     ):
         level = f"regexp_replace({level}, '{pattern}', '{put}', 'g')"
     for old, new in license_scan.SPELLINGS:
         level = f"replace({level}, '{old}', '{new}')"
-    level = f"regexp_replace({level}, ' ?\n ?', '\n', 'g')"
     known = _list(
         "('{}', '{}')".format(name, text.replace("'", "''")) for name, text in license_scan.KNOWN
     )
@@ -119,19 +119,20 @@ def _license_sql() -> str:
         select doc_id, chr(10) || coalesce(text, '') as text, null as license from documents
         union all select null, chr(10) || t, l from (values {known}) k(l, t)
     ), level as (
-        select doc_id, license, string_split({level}, chr(10)) as lines from texts
+        select doc_id, license, [trim(x) for x in string_split({level}, chr(10)) if trim(x) <> '']
+               as lines from texts
     ), units as (
         select doc_id, license, lines,
-               sha256(trim(regexp_replace(array_to_string(lines, ' '), ' +', ' ', 'g'))) as digest
+               sha256(coalesce(array_to_string(lines, ' '), '')) as digest
         from level
     ), known as (
         select distinct license, digest from units where license is not null
     ), hits as (
         select doc_id, u.digest, list_sort(list(distinct k.license)) as notices
-        from (select doc_id, digest, unnest([trim(x) for x in lines]) as line
+        from (select doc_id, digest, unnest(lines) as line
               from units where license is null) u
         join known k on k.digest = sha256(u.line)
-        where line <> '' group by all
+        group by all
     ), whole as (select digest, min(license) as license from known group by digest)
     select u.doc_id, u.digest, w.license, coalesce(h.notices, []::varchar[]) as notices
     from (select * from units where license is null) u
