@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tillwise.operators.features import feature_matrix
 from tillwise.functions.text import yes_no
 from tillwise.operators import cleaning
 from tillwise.sources import feeds
@@ -81,9 +82,12 @@ def test_clean_ratings_clips_and_truncates(spark):
 
 
 def test_coerce_numeric(spark):
-    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "v string")
+    df = spark.createDataFrame([("1.5",), ("x",), (None,), ("NaN",)], "v string")
     got = [r[0] for r in df.select(cleaning.coerce_numeric("v")).collect()]
-    assert got == [1.5, 0.0, 0.0]
+    assert got == [1.5, 0.0, 0.0, 0.0]
+    numbers = spark.createDataFrame([(2.0,), (float("nan"),)], "v double")
+    assert [r[0] for r in numbers.select(cleaning.coerce_numeric("v")).collect()] == [2.0, 0.0]
+    assert [r.v for r in feature_matrix(numbers, ["v"]).collect()] == [2.0, 0.0]
 
 
 def test_yes_no(spark):

@@ -46,6 +46,16 @@ def test_csv_fields_that_do_not_parse_become_null(spark):
     ]
 
 
+def test_csv_files_with_headers_of_their_own(spark):
+    path = fresh_path(spark, "csv")
+    for lines in (["a,b", "1,10"], ["b,a", "20,2"], ["b", "30"]):
+        frame = spark.createDataFrame([(x,) for x in lines], "v string")
+        frame.coalesce(1).write.mode("append").text(path)
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.DoubleType())])
+    got = readers.read_csv(spark, path, schema).orderBy("b").collect()
+    assert [tuple(r) for r in got] == [(1, 10.0), (2, 20.0), (None, 30.0)]
+
+
 def test_csv_as_other_tools_write_it(spark):
     """No key column, another column order, whole numbers as 12.0, NaN for missing."""
     path = fresh_path(spark, "csv")

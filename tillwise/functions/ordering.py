@@ -254,8 +254,8 @@ def sketched_order_window(
         F.when(small, F.col("lowest")).otherwise(F.col("b")[0]).alias("low"),
         F.when(small, F.col("highest")).otherwise(F.col("b")[1]).alias("high"),
     )
-    # One row per hot group: at most MAX_HOT_KEYS rows, see skew.hot_groups.
-    scoped = join_on_group(rows, F.broadcast(ranges), by, "inner")
+    # One row per hot group; Spark broadcasts them where their measured size allows it.
+    scoped = join_on_group(rows, ranges, by, "inner")
     below = scoped.groupBy(*by).agg(F.count_if(F.col("v") < F.col("low")).alias("below"))
     counted = (
         scoped.where(F.col("v").between(F.col("low"), F.col("high")))
@@ -264,7 +264,7 @@ def sketched_order_window(
     )
     ahead = Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = counted.withColumn("ahead", F.coalesce(F.sum("c").over(ahead), F.lit(0)))
-    placed = join_on_group(ranked, F.broadcast(below), by, "inner")
+    placed = join_on_group(ranked, below, by, "inner")
     first = F.col("below") + F.col("ahead")
     return placed.groupBy(*by).agg(
         F.max("n").alias("n"),

@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.workspace import materialise
+
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 50_000
 
@@ -19,19 +21,18 @@ def hot_groups(
     hot_rows: int = HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame | None:
-    """Keys whose group exceeds the limit, or None when no group does.
+    """Keys whose group exceeds ``hot_rows``, or None when no group does.
 
-    The limit is at least ``total / max_keys``, so at most ``max_keys`` keys can
-    exceed it whatever the data looks like. They are brought back once as a local
-    frame, which is safe to broadcast and is not counted again where it is used.
+    The limit is the same for every input, so no ordinary group outgrows a task. The
+    keys are written once and come back as a scan of that table. Up to ``max_keys`` of
+    them the frame carries a broadcast hint; more are left to a shuffled join.
     """
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("group_rows"))
-    total, largest = counts.agg(F.sum("group_rows"), F.max("group_rows")).first()
-    limit = max(hot_rows, (total or 0) // max_keys)
-    if largest is None or largest <= limit:
+    keys = materialise(counts.where(F.col("group_rows") > hot_rows).select(*by), "hot-groups")
+    found = keys.count()
+    if not found:
         return None
-    keys = counts.where(F.col("group_rows") > limit).select(*by)
-    return df.sparkSession.createDataFrame(keys.collect(), keys.schema)
+    return F.broadcast(keys) if found <= max_keys else keys
 
 
 def join_on_group(left: DataFrame, right: DataFrame, by: Sequence[str], how: str) -> DataFrame:
@@ -47,5 +48,4 @@ def split_hot(
     """(rows of ordinary groups, rows of hot groups); one narrow pass each."""
     if hot is None:
         return df, None
-    keys = F.broadcast(hot)
-    return join_on_group(df, keys, by, "left_anti"), join_on_group(df, keys, by, "left_semi")
+    return join_on_group(df, hot, by, "left_anti"), join_on_group(df, hot, by, "left_semi")

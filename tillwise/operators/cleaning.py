@@ -18,8 +18,9 @@ RATING_RANGE = (1, 5)
 
 
 def coerce_numeric(column: str, default: float | None = 0.0) -> Column:
-    """Unparsable or missing input becomes ``default``."""
-    value = F.expr(f"try_cast(`{column}` as double)")
+    """Unparsable or missing input, a NaN included, becomes ``default``."""
+    number = F.expr(f"try_cast(`{column}` as double)")
+    value = F.when(~F.isnan(number), number)
     return value if default is None else F.coalesce(value, F.lit(default))
 
 

@@ -35,7 +35,7 @@ def engineer_fraud_features(
     ``by`` names the scope of a user's history: the user alone, or the user
     within a batch. Groups of ordinary size share one exchange on ``by`` and use
     windows. Groups above ``hot_rows`` go through aggregates that combine before
-    the shuffle and joins on unique or broadcast-sized keys. Pass ``hot_rows=None``
+    the shuffle and joins on unique or the few keys of hot groups. Pass ``hot_rows=None``
     when the caller already bounds the group size.
     """
     by = list(by)
@@ -72,9 +72,9 @@ def _aggregated(tx: DataFrame, by: list[str]) -> DataFrame:
         .select(F.col("first.txn_id").alias("txn_id"), F.lit(1).alias("new_device"))
     )
     # Both tables have one row per hot group: at most skew.MAX_HOT_KEYS rows.
-    known = join_on_group(tx, F.broadcast(homes), by, "left")
+    known = join_on_group(tx, homes, by, "left")
     return (
-        join_on_group(known, F.broadcast(limits), by, "left")
+        join_on_group(known, limits, by, "left")
         .join(first_seen, "txn_id", "left")
         .withColumn("new_device", F.coalesce("new_device", F.lit(0)))
         .withColumn("unusual_location", _away(F.col("location_id"), F.col("home")))
@@ -84,9 +84,13 @@ def _aggregated(tx: DataFrame, by: list[str]) -> DataFrame:
 
 
 def feature_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The feature columns as non-null doubles, the other columns unchanged."""
-    as_double = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
-    return df.withColumns(as_double)
+    """The feature columns as doubles, 0 for nulls and NaN, the other columns unchanged."""
+    return df.withColumns({c: filled(c) for c in columns})
+
+
+def filled(column: str) -> Column:
+    """A number as a double; a null or NaN is missing and counts as 0."""
+    return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def existing_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:

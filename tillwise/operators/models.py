@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from tillwise.operators.cleaning import coerce_numeric
 from tillwise.operators.evaluation import accuracy, classification_report, roc_auc
-from tillwise.operators.features import BASELINE_FEATURES, FEATURES, feature_matrix
+from tillwise.operators.features import BASELINE_FEATURES, FEATURES, feature_matrix, filled
 
 FRAUD_SEED = 42
 CHURN_SEED = 7
 TEST_SHARE = 0.25
+# Training rows are laid out by key in as many partitions as this gives.
+ROWS_PER_FIT_PARTITION = 25_000
 CHURN_FEATURES = ["tenure_months", "monthly_spend", "sessions_per_month", "support_tickets"]
 
 
@@ -65,10 +67,10 @@ class Classifier:
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Add the probability of label 1; works on static and streaming frames."""
-        filled = rows.withColumns(
-            {f"f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.features}
+        ready = rows.withColumns(
+            {f"f_{c}": filled(c) for c in self.features}
         )
-        scored = self.model.transform(filled)
+        scored = self.model.transform(ready)
         return scored.withColumn(self.out, vector_to_array("probability")[1]).select(
             *[c for c in rows.columns if c != self.out], self.out
         )
@@ -115,10 +117,11 @@ def _fit(
     balanced: bool,
     partitions: int | None,
 ) -> Classifier:
-    partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = list(dict.fromkeys([key, *features, label]))
     data = rows.select(*columns)
     test = in_test_part(key, seed)
+    # From the number of rows alone, so that no session setting changes the model.
+    partitions = partitions or max(1, -(-data.where(~test).count() // ROWS_PER_FIT_PARTITION))
     train = feature_matrix(data.where(~test), features)
     # Row sampling inside the trees follows the partition layout: fixing the
     # layout by key makes the model the same in every run.

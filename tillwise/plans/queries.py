@@ -606,12 +606,17 @@ def stream_event_score(spark, folder):
     return streams.run_available(scored, "event-scores")
 
 
+# Rows of a staged file: scores see their micro-batch alone, so its size is fixed.
+BATCH_ROWS = 10_000
+
+
 @query
 def stream_batch_scores(spark, folder):
-    """Cleaned transactions staged in day files, one file per micro-batch."""
+    """Cleaned transactions staged in order of time, about BATCH_ROWS to a file and micro-batch."""
     staged = fresh_path(spark, "staged")
     cleaned = trained.clean_transactions(spark, folder)
-    cleaned.repartitionByRange(8, "timestamp").write.parquet(staged)
+    files = max(1, -(-cleaned.count() // BATCH_ROWS))
+    cleaned.repartitionByRange(files, "timestamp", "txn_id").write.parquet(staged)
     stream = readers.stream_table(spark, staged, feeds.TRANSACTIONS, files_per_batch=1)
     return streams.score_micro_batches(stream, trained.fraud_model(spark, folder))
 
@@ -631,5 +636,5 @@ def stream_user_recs(spark, folder):
 @query
 def stream_windowed_fraud(spark, folder):
     made = streams.windowed_fraud(_stream(spark, folder))
-    table = streams.run_available(made, "windows").withColumns(rounded("total_amount"))
+    table = streams.latest_windows(made).withColumns(rounded("total_amount"))
     return micros(table, "window_start")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,8 +37,25 @@ def read_csv(
     order instead; write the frame before using it twice, as numbers follow the
     layout of the read.
     """
-    text = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    # A file's columns are those of its own header, whatever the other files have.
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
+    )
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    layouts = headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    if len(layouts) <= 1:
+        return _csv_columns(reader.csv(path), schema, key)
+    parts = [
+        _csv_columns(reader.csv(layout["files"]), schema, key)
+        for layout in sorted(layouts, key=lambda layout: layout["header"])
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _csv_columns(text: DataFrame, schema: T.StructType, key: str | None) -> DataFrame:
+    """The declared columns from the text columns of files with one header."""
     def column(field: T.StructField) -> Column:
         if field.name in text.columns:
             return _parsed(field).alias(field.name)

@@ -147,11 +147,15 @@ def _next_start(spark: SparkSession, out: str, batch_id: int) -> int:
     return previous["batch_start_idx"] + previous["batch_size"]
 
 
-def windowed_fraud(stream: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """Events, amount and fraud labels per tumbling window of event time."""
+def windowed_fraud(stream: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
+    """Events, amount and fraud labels per tumbling window of event time.
+
+    Without ``late`` every event counts, however late; the state is a row per window.
+    With it, state behind the watermark is let go, and so are events that late.
+    """
     timed = stream.withColumn("event_time", F.col("timestamp").cast("timestamp"))
     return (
-        timed.withWatermark("event_time", late)
+        (timed if late is None else timed.withWatermark("event_time", late))
         .groupBy(F.window("event_time", width))
         .agg(
             F.count(F.lit(1)).alias("txn_count"),
@@ -160,3 +164,30 @@ def windowed_fraud(stream: DataFrame, width: str = "1 hour", late: str = "2 hour
         )
         .select(F.col("window.start").alias("window_start"), "txn_count", "total_amount", "fraud_count")
     )
+
+
+def latest_windows(windows: DataFrame, label: str = "windows") -> DataFrame:
+    """Run a stream of windows over all that is available; every window, as last updated.
+
+    Windows still open at the end are in the result too. A replayed batch replaces its
+    earlier output.
+    """
+    spark = windows.sparkSession
+    out = fresh_path(spark, f"{label}-out")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_no={batch_id}")
+
+    query = (
+        windows.writeStream.foreachBatch(write)
+        .outputMode("update")
+        .option("checkpointLocation", fresh_path(spark, f"{label}-state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    updates = spark.read.parquet(out)
+    values = [c for c in updates.columns if c not in ("window_start", "batch_no")]
+    return updates.groupBy("window_start").agg(
+        F.max_by(F.struct(*values), "batch_no").alias("last")
+    ).select("window_start", "last.*")
