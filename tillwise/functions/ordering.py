@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from tillwise.functions.skew import hot_groups, join_on_group, split_hot
 
 SKETCH_ACCURACY = 10_000
-SKETCH_ACCURACY_LIMIT = 1_000_000
 SLICE_ROWS = 100_000
 ROWS_PER_BIN = 500_000
 MAX_BINS = 20_000
@@ -43,6 +42,11 @@ class _Target:
     below: int = 0
     inside: int = 0
     accuracy: int = SKETCH_ACCURACY
+    settled: tuple[float, float] | None = None  # both neighbours, once known
+
+    @property
+    def following(self) -> int:
+        return min(self.rank + 1, self.last)
 
     def condition(self) -> Column:
         value = F.col(self.column)
@@ -123,33 +127,77 @@ def _narrow(
     narrowed = [replace(t, low=r[0], high=r[1]) for t, r in zip(targets, ranges)]
     sizes = []
     for i, t in enumerate(narrowed):
-        sizes.append(F.count_if(F.col(t.column) < F.lit(t.low)).alias(f"below{i}"))
-        sizes.append(F.count_if(t.condition()).alias(f"inside{i}"))
+        value, low, high = F.col(t.column), F.lit(t.low), F.lit(t.high)
+        sizes += [
+            F.count_if(value < low).alias(f"below{i}"),
+            F.count_if(t.condition()).alias(f"inside{i}"),
+            F.count_if(value == low).alias(f"at_low{i}"),
+            F.count_if(value == high).alias(f"at_high{i}"),
+            F.min(F.when(value > low, value)).alias(f"above_low{i}"),
+            F.max(F.when(value < high, value)).alias(f"below_high{i}"),
+        ]
     found = work.agg(*sizes).first()
     again = []
     for i, (t, new) in enumerate(zip(targets, narrowed)):
         below, inside = found[f"below{i}"], found[f"inside{i}"]
-        if below > t.rank or below + inside <= min(t.rank + 1, t.last):
+        if below > t.rank or below + inside <= t.following:
             raise RuntimeError(f"value range of {t.column} misses rank {t.rank}")
-        shrunk = inside < t.inside
         t.low, t.high, t.below, t.inside = new.low, new.high, below, inside
         if t.inside > slice_rows and t.low < t.high:
-            # Repeated end values can keep a range wide: look closer, up to a limit.
-            if not shrunk and t.accuracy >= SKETCH_ACCURACY_LIMIT:
-                continue
-            if not shrunk:
-                t.accuracy *= 10
-            again.append(t)
+            ends = ("at_low", "at_high", "above_low", "below_high")
+            _cut_ends(t, *[found[f"{name}{i}"] for name in ends])
+            if t.settled is None and t.inside > slice_rows and t.low < t.high:
+                again.append(t)
     return again
 
 
+def _cut_ends(
+    t: _Target, at_low: int, at_high: int, above_low: float, below_high: float
+) -> None:
+    """Settle a target that touches an end value of its range, else leave the ends out.
+
+    A sketch leaves few rows strictly between its two end values; what keeps a range
+    wide is rows equal to them. Without those, every round shrinks the range.
+    """
+    inner, outer = t.below + at_low, t.below + t.inside - at_high
+    if t.rank < inner:
+        t.settled = (t.low, t.low if t.following < inner else above_low)
+    elif t.following >= outer:
+        t.settled = (t.high if t.rank >= outer else below_high, t.high)
+    else:
+        t.low, t.high, t.below, t.inside = above_low, below_high, inner, outer - inner
+
+
 def _pick(work, targets, columns, counts):
     slices: dict[tuple, int] = {}
-    for t in targets:
-        slices.setdefault((t.column, t.low, t.high), len(slices))
     by_slice = {}
     for t in targets:
-        by_slice.setdefault(slices[(t.column, t.low, t.high)], t)
+        if t.settled is None and counts[t.column]:
+            tag = slices.setdefault((t.column, t.low, t.high), len(slices))
+            by_slice.setdefault(tag, t)
+    groups = _slice_values(work, by_slice) if by_slice else {}
+    out: dict[str, list[float | None]] = {c: [] for c in columns}
+    for t in targets:
+        if counts[t.column] == 0:
+            out[t.column].append(None)
+            continue
+        if t.settled is None:
+            g = groups[slices[(t.column, t.low, t.high)]]
+            ends = t.below + g["n"].to_numpy().cumsum()
+            values = g["value"].to_numpy()
+            top = len(values) - 1
+            lower, upper = (
+                values[min(np.searchsorted(ends, rank, side="right"), top)]
+                for rank in (t.rank, t.following)
+            )
+        else:
+            lower, upper = t.settled
+        out[t.column].append(float(interpolate(lower, upper, t.fraction)))
+    return out
+
+
+def _slice_values(work: DataFrame, by_slice: dict[int, _Target]) -> dict:
+    """Distinct values and their counts in each slice, in order."""
     tagged = F.array(
         *[
             F.when(
@@ -165,21 +213,7 @@ def _pick(work, targets, columns, counts):
         .agg(F.count(F.lit(1)).alias("n"))
         .toPandas()
     )
-    out: dict[str, list[float | None]] = {c: [] for c in columns}
-    groups = {tag: g.sort_values("value") for tag, g in rows.groupby("tag")}
-    for t in targets:
-        if counts[t.column] == 0:
-            out[t.column].append(None)
-            continue
-        g = groups[slices[(t.column, t.low, t.high)]]
-        ends = t.below + g["n"].to_numpy().cumsum()
-        values = g["value"].to_numpy()
-        top = len(values) - 1
-        lower = values[min(np.searchsorted(ends, t.rank, side="right"), top)]
-        following = min(t.rank + 1, t.last)
-        upper = values[min(np.searchsorted(ends, following, side="right"), top)]
-        out[t.column].append(float(interpolate(lower, upper, t.fraction)))
-    return out
+    return {tag: g.sort_values("value") for tag, g in rows.groupby("tag")}
 
 
 # --- order statistics per group -------------------------------------------------

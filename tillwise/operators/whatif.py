@@ -73,8 +73,9 @@ def whatif_features(
     """Features of each scenario's transaction; users without history drop out.
 
     The history is cleaned per user together with the new row, as if that user's
-    rows were the whole feed.
+    rows were the whole feed. Only the histories of users in ``scenarios`` are read on.
     """
+    history = history.join(scenarios.select("user_id").distinct(), _BY, "left_semi")
     summary = history_summary(history, hot_rows)
     places = location_counts(history).withColumnRenamed("n", "visits")
     devices = history.select("user_id", "device_id").distinct().withColumn("known", F.lit(1))
@@ -107,7 +108,7 @@ def whatif_features(
         "device_id",
         (F.col("last_time") + F.expr("INTERVAL 1 MINUTE")).alias("timestamp"),
         F.coalesce((F.col("location_id") != home).cast("int"), F.lit(1)).alias("unusual_location"),
-        high.cast("int").alias("high_spend"),
+        F.coalesce(high.cast("int"), F.lit(0)).alias("high_spend"),
         F.when(F.col("known").isNull(), 1).otherwise(0).alias("new_device"),
     )
 
