@@ -135,3 +135,12 @@ def test_factor_model(spark):
     model = cf.factor_model(df, rank=4, iterations=4)
     scored = model.transform(cf.mean_ratings(df))
     assert scored.where("prediction is null").count() == 0 and scored.count() > 0
+
+
+@pytest.mark.parametrize("pad", [True, False])
+def test_requested_users_alone_have_the_same_lists(spark, centred, pad):
+    near = cf.neighbors(cf.unit_ratings(centred), K_NEAR)
+    users = spark.createDataFrame([(3,), (4,), (80,), (999,), (4,)], "user_id long")
+    every = cf.for_users(cf.recommend(near, centred, 4, pad), users)
+    some = cf.recommend(near, centred, 4, pad, users)
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.collect()))

@@ -17,6 +17,8 @@ SAMPLES = {
     "two values": np.r_[np.zeros(3000), np.ones(3001)],
     "all equal": np.full(500, 3.0),
     "single": np.array([4.0]),
+    "between two masses": np.r_[np.zeros(3000), np.linspace(1, 2, 900), np.full(3000, 9.0)],
+    "masses inside masses": np.r_[np.repeat([0.0, 1, 8, 9], 1000), np.linspace(2, 7, 901)],
 }
 
 

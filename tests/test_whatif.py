@@ -58,3 +58,17 @@ def test_summaries_equal_copied_histories(spark, make_tx, hot_rows):
     last = {u: max(i for i, h in enumerate(history) if h[0] == u) for u in range(1, 8)}
     for r in out:
         assert r.timestamp == START + timedelta(minutes=last[r.user_id] + 1)
+
+
+def test_null_amount_is_no_high_spend(spark, make_tx):
+    df = spark.createDataFrame([(1, 1, None, 1, 1)], feeds.SCENARIOS)
+    row = whatif.whatif_features(df, make_tx([(1, 5.0, 1, 1), (2, 5.0, 1, 1)])).first()
+    assert (row.amount, row.high_spend) == (None, 0)
+
+
+def test_other_users_are_left_out_before_the_ranking(spark, make_tx):
+    df = spark.createDataFrame([(1, 1, 2.0, 1, 1)], feeds.SCENARIOS)
+    made = whatif.whatif_features(df, make_tx([(1, 5.0, 1, 1), (2, 5.0, 1, 1)]), hot_rows=None)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    histories = plan.count("LogicalRDD [txn_id")
+    assert "Window" in plan and plan.count("LeftSemi") == histories > 0

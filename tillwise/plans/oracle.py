@@ -759,7 +759,7 @@ def statements() -> dict[str, str]:
                 from copies_clean group by scenario_id, device_id)
             select c.scenario_id, c.user_id, {_r("c.amount")} as amount, c.location_id, c.device_id,
                    cast(c.location_id <> c.home as integer) as unusual_location,
-                   cast(round(c.amount, 6) > round(l.p95, 6) as integer) as high_spend,
+                   coalesce(cast(round(c.amount, 6) > round(l.p95, 6) as integer), 0) as high_spend,
                    cast(s.first_added as integer) as new_device,
                    epoch_us(c.timestamp) as timestamp_us
             from copies_clean c
@@ -773,6 +773,39 @@ def statements() -> dict[str, str]:
             select scenario_id, user_id from scenarios
             where user_id not in (select user_id from tx)""",
         ),
+        # Scores depend on training; these hold for any model.
+        "fraud_score_check": _with(
+            ["tx"],
+            "select count(*) as n_rows, count(distinct txn_id) as n_keys, count(*) as n_in_range from tx",
+        ),
+        "stream_event_score_check": _with(
+            ["tx"],
+            "select count(*) as n_rows, count(distinct txn_id) as n_keys, count(*) as n_in_range from tx",
+        ),
+        "anomaly_score_check": _with(
+            ["tx"],
+            "select count(*) as n_rows, count(distinct txn_id) as n_keys, count(*) as n_in_range from tx",
+        ),
+        "churn_score_check": _with(
+            ["churn"],
+            "select count(*) as n_rows, count(distinct user_id) as n_keys, count(*) as n_in_range from churn",
+        ),
+        "whatif_score_check": _with(
+            ["tx", "scenarios"],
+            """
+            select count(*) as n_rows, count(distinct scenario_id) as n_keys, count(*) as n_in_range
+            from scenarios where user_id in (select user_id from tx)""",
+        ),
+        "stream_batch_check": _with(
+            ["tx"],
+            "select count(*) as n_rows, count(*) as n_positions, cast(0 as bigint) as n_out_of_range from tx",
+        ),
+        "fraud_report_support": _with(
+            ["tx"],
+            """
+            select cast(is_fraud as varchar) as class, count(*) as support from tx
+            where ('0x' || substr(md5('42:' || txn_id), 1, 8))::bigint < 1073741824 group by 1""",
+        ),
         "stream_event_features": _with(
             ["tx", "homes"],
             """

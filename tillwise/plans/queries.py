@@ -268,6 +268,19 @@ def threshold_counts(spark, folder):
     return reporting.threshold_counts(scored, "score", THRESHOLDS)
 
 
+@query
+def model_threshold_counts(spark, folder):
+    """Rows at or above each threshold, for the scores of both models."""
+    fraud = trained.fraud_model(spark, folder).score(trained.featured_transactions(spark, folder))
+    made = [
+        reporting.threshold_counts(scored, name, THRESHOLDS).withColumn("score", F.lit(name))
+        for scored, name in (
+            (fraud, "fraud_proba"), (trained.anomaly_scores(spark, folder), "anomaly_score")
+        )
+    ]
+    return made[0].unionByName(made[1])
+
+
 @query
 def lake_counts(spark, folder):
     return reporting.lake_counts(
@@ -402,8 +415,10 @@ def cf_recommend(spark, folder):
 
 @query
 def first_15_users(spark, folder):
-    found = trained.recommendations(spark, folder).where(F.col("rank") <= 5)
-    return collaborative.first_users(found, 15).withColumns(rounded("score"))
+    centred = trained.centred(spark, folder)
+    users = centred.select("user_id").distinct().orderBy("user_id").limit(15)
+    found = collaborative.recommend(trained.neighbors(spark, folder), centred, users=users)
+    return found.where(F.col("rank") <= 5).withColumns(rounded("score"))
 
 
 @query
@@ -551,6 +566,47 @@ def anomaly_score(spark, folder):
     return micros(anomaly.flag_outliers(trained.anomaly_scores(spark, folder)))
 
 
+def _score_check(scored: DataFrame, key: str, score: str) -> DataFrame:
+    """What holds whatever the model learns: a row per key, every score from 0 to 1."""
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(key).alias("n_keys"),
+        F.count_if(F.col(score).between(0, 1)).alias("n_in_range"),
+    )
+
+
+@query
+def fraud_score_check(spark, folder):
+    return _score_check(fraud_score(spark, folder), "txn_id", "fraud_proba")
+
+
+@query
+def fraud_report_support(spark, folder):
+    """Test rows of each class in the report of the fraud model."""
+    report = trained.fraud_model(spark, folder).report().select("class", "support")
+    return report.where(~F.col("class").isin("accuracy", "macro avg", "weighted avg"))
+
+
+@query
+def churn_report(spark, folder):
+    return trained.churn_model(spark, folder).report()
+
+
+@query
+def churn_score_check(spark, folder):
+    return _score_check(churn_score(spark, folder), "user_id", "churn_proba")
+
+
+@query
+def anomaly_score_check(spark, folder):
+    return _score_check(trained.anomaly_scores(spark, folder), "txn_id", "anomaly_score")
+
+
+@query
+def whatif_score_check(spark, folder):
+    return _score_check(whatif_score(spark, folder), "scenario_id", "fraud_proba")
+
+
 def _metric_rows(spark, folder) -> dict[str, DataFrame]:
     tx = feeds.transactions(spark, folder)
     reviews = _scored_reviews(spark, folder)
@@ -621,6 +677,21 @@ def stream_batch_scores(spark, folder):
     return streams.score_micro_batches(stream, trained.fraud_model(spark, folder))
 
 
+@query
+def stream_event_score_check(spark, folder):
+    return _score_check(stream_event_score(spark, folder), "txn_id", "fraud_proba")
+
+
+@query
+def stream_batch_check(spark, folder):
+    """Rows of all micro-batches, the end of the last one, and batches with means out of range."""
+    return stream_batch_scores(spark, folder).agg(
+        F.sum("batch_size").alias("n_rows"),
+        F.max(F.col("batch_start_idx") + F.col("batch_size")).alias("n_positions"),
+        F.count_if(~F.col("mean_fraud_proba").between(0, 1)).alias("n_out_of_range"),
+    )
+
+
 @query
 def stream_dedup_devices(spark, folder):
     return streams.run_available(streams.first_devices(_stream(spark, folder)), "devices")
