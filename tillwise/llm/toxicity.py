@@ -11,11 +11,13 @@ Labels are given per document, so tokens are labelled from them: a token of a to
 document is tagged when its word or a beginning of it occurs in toxic documents far
 more often than in clean ones.
 
-Training uses a bounded sample: of each class the ``TRAIN_DOCS`` documents of
-smallest id hash, of each the first ``TRAIN_TOKENS`` tokens within ``TRAIN_CHARS``
-characters. Scoring reads whole
-texts of all documents and keeps a batch of rows in memory. The model has at most
-``MAX_WEIGHTS`` weights, whatever the corpus; it is broadcast.
+Training uses a bounded sample of whole texts: of each class the ``TRAIN_DOCS``
+documents of smallest id hash, fewer where they average more than ``TRAIN_TOKENS``
+tokens or ``TRAIN_CHARS`` characters. For the chain's gradient a text is cut into
+windows that together cover it; the document's weights are fitted on marginals of whole
+texts, as scoring computes them. Scoring reads whole texts of all documents and keeps a
+batch of rows in memory. The model has at most ``MAX_WEIGHTS`` weights, whatever the
+corpus; it is broadcast.
 """
 
 from __future__ import annotations
@@ -36,8 +38,11 @@ from pyspark.sql import functions as F
 from tillwise.workspace import materialise
 
 TRAIN_DOCS = 1600
+#: What a sampled text may have on average; no text is shortened.
 TRAIN_TOKENS = 400
 TRAIN_CHARS = 12_000
+#: Longest chain of the gradient.
+WINDOW = 400
 MAX_WEIGHTS = 20_000
 MIN_DOCS = 3
 #: A token feature is taken as toxic where the odds of its documents are this much higher.
@@ -155,7 +160,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
              "doc": [0.0, 0.0, 0.0], "offset": math.log((base + 1e-3) / (1 - base + 1e-3))}
     if base in (0.0, 1.0):
         return model
-    docs = [tokenise(t)[:TRAIN_TOKENS] for t in texts]
+    docs = [tokenise(t) for t in texts]
     named = {w: features_of(w) for w in set().union(*docs)}
     seen = (Counter(), Counter())
     for words, y in zip(docs, labels):
@@ -173,26 +178,34 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
                    [{f for w in set(d) for f in named[w]} for d, y in zip(docs, labels) if y])
     known = {w: [f for f in fs if f in at] for w, fs in named.items()}
 
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-    docs, labels = [docs[i] for i in order], labels[order]
-    lengths = np.array([len(d) for d in docs])
+    # Tokens are numbered through all texts; windows are put side by side, longest first.
+    ends = np.cumsum([len(d) for d in docs])
+    cuts = [(a, min(a + WINDOW, e)) for e, d in zip(ends.tolist(), docs) for a in range(e - len(d), e, WINDOW)]
+    cuts.sort(key=lambda c: c[0] - c[1])
+    lengths = np.array([b - a for a, b in cuts], np.int64)
     steps = max(1, int(lengths.max(initial=0)))
-    tags = np.zeros((steps, len(docs)), np.float32)
-    where = array("i")  # token, sequence, feature of every feature that occurs
-    for s, words in enumerate(docs):
-        for t, word in enumerate(words):
+    inside = np.arange(steps)[:, None] < lengths[None, :]
+    place = np.empty(int(lengths.sum()), np.int64)  # of a token in the grid of steps x windows
+    for s, (a, b) in enumerate(cuts):
+        place[a:b] = np.arange(b - a) * len(cuts) + s
+    tags = np.zeros((steps, len(cuts)), np.float32)
+    where = array("i")  # token and feature of every feature that occurs
+    token = 0
+    for words, y in zip(docs, labels):
+        for word in words:
             own = known[word]
             for f in own:
-                where.extend((t, s, at[f]))
-            tags[t, s] = labels[s] and any(f in marks for f in own)
-    rows, seqs, feats = np.frombuffer(where, dtype=np.int32).reshape(-1, 3).T.astype(np.int64)
-    inside = np.arange(steps)[:, None] < lengths[None, :]
+                where.extend((token, at[f]))
+            tags.flat[place[token]] = y and any(f in marks for f in own)
+            token += 1
+    tokens, feats = np.frombuffer(where, dtype=np.int32).reshape(-1, 2).T.astype(np.int64)
     size = len(at)
-    before = rows + 1 < lengths[seqs]  # the feature's token has a token after it
-    after = rows > 0
+    edge = np.zeros(len(place) + 1, bool)
+    edge[ends] = edge[0] = True
+    before, after = ~edge[tokens + 1], ~edge[tokens]  # the text has a token after, before it
 
-    cell = rows * len(docs) + seqs
-    cells = np.concatenate([cell, cell[before] + len(docs), cell[after] - len(docs)])
+    own_cell, next_cell, last_cell = place[tokens], place[tokens[before] + 1], place[tokens[after] - 1]
+    cells = np.concatenate([own_cell, next_cell, last_cell])
 
     def spread(x):
         own, near = x[:size], x[size : 2 * size]
@@ -209,21 +222,24 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
     def gradient(x):
         trans = x[2 * size + 1 :].reshape(2, 2)
         expected, node = _expected(spread(x), lengths, trans, inside)
-        miss = np.where(inside, node - tags, 0.0)
+        miss = np.where(inside, node - tags, 0.0).reshape(-1)
         g = np.zeros_like(x)
-        g[:size] = np.bincount(feats, miss[rows, seqs], size)
-        g[size : 2 * size] = np.bincount(
-            feats[before], miss[rows[before] + 1, seqs[before]], size
-        ) + np.bincount(feats[after], miss[rows[after] - 1, seqs[after]], size)
+        g[:size] = np.bincount(feats, miss[own_cell], size)
+        g[size : 2 * size] = np.bincount(feats[before], miss[next_cell], size) + np.bincount(
+            feats[after], miss[last_cell], size
+        )
         g[2 * size] = miss.sum()
         g[2 * size + 1 :] = (expected - had).reshape(-1)
         return g + 0.05 * x
 
     x = _adam(gradient, 2 * size + 5, STEPS, 0.3)
     trans = x[2 * size + 1 :].reshape(2, 2)
-    scores = spread(x)
-    p = marginals(scores, lengths, trans)
-    sums = np.array([_summary(p[: lengths[s], s]) for s in range(len(docs))])
+    model |= {
+        "weights": {f: float(x[i]) for f, i in at.items()},
+        "near": {f: float(x[size + i]) for f, i in at.items()},
+        "trans": trans.tolist(), "bias": float(x[2 * size]),
+    }
+    sums = np.array([_summary(p) for p in Tagger(model).tag(texts)])
 
     share = base if share is None else min(max(share, 1e-3), 1 - 1e-3)
     weight = np.where(labels == 1, share / base, (1 - share) / (1 - base))
@@ -234,12 +250,7 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
         return np.append(sums.T @ miss, miss.sum()) / len(labels) + 1e-4 * z
 
     z = _adam(doc_gradient, 4, 800, 0.1)
-    return model | {
-        "weights": {f: float(x[i]) for f, i in at.items()},
-        "near": {f: float(x[size + i]) for f, i in at.items()},
-        "trans": trans.tolist(), "bias": float(x[2 * size]),
-        "doc": z[:3].tolist(), "offset": float(z[3]),
-    }
+    return model | {"doc": z[:3].tolist(), "offset": float(z[3])}
 
 
 class _Numbers(dict):
@@ -316,12 +327,24 @@ def _fit_rows(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Re
     yield pa.RecordBatch.from_pydict({"model": [json.dumps(model)]})
 
 
+def _affordable(found: list, room: float) -> list[str]:
+    """Ids (id, class, cost, in order) that together cost no more than ``room`` a class."""
+    spent, taken = Counter(), []
+    for row in found:
+        if spent[row.y] + row.cost <= room:
+            spent[row.y] += row.cost
+            taken.append(row._id)
+    return taken
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", sample: int = TRAIN_DOCS,
 ) -> dict:
     """Fit on at most ``sample`` labelled documents of each class, in one task.
 
+    Texts are read whole; where they would exceed ``sample`` texts of ``TRAIN_TOKENS``
+    tokens (or ``TRAIN_CHARS`` characters), those that do not fit are left out.
     Labels other than 0 and 1 (null too) and ids without a document are passed over;
     a null text counts as empty; an id labelled both ways counts as toxic.
     """
@@ -336,16 +359,24 @@ def train(
     ]
     picked = materialise(chosen[0].union(chosen[1]), "tox-sample")
     # Rows that share an id give one training text, so the bound holds.
-    start = F.substring(F.coalesce(F.col(text_col), F.lit("")), 1, TRAIN_CHARS)
-    rows = (
-        docs.select(F.col(id_col).alias("_doc"), start.alias("text"))
+    rows = materialise(
+        docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         .join(picked, F.col("_doc") == F.col("_id"))
-        .groupBy(F.col("_id").cast("string").alias("_id"), F.col("_toxic").cast("int").alias("y"))
+        .groupBy("_id", F.col("_toxic").cast("int").alias("y"))
         .agg(F.min("text").alias("text"))
-        .select("_id", "text", "y")
+        .select(F.col("_id").cast("string").alias("_id"), "text", "y", F.xxhash64("_id").alias("_at")),
+        "tox-texts",
+    )
+    cost = F.greatest(
+        F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+")),
+        F.length("text") * F.lit(TRAIN_TOKENS / TRAIN_CHARS),
     )
+    # A row for each sampled document, so their number is bounded.
+    found = rows.select("_id", "y", cost.alias("cost"), "_at").orderBy("_at", "_id").collect()
+    fitting = rows.where(F.col("_id").isin(_affordable(found, sample * TRAIN_TOKENS)))
     written = materialise(
-        rows.coalesce(1).mapInArrow(lambda batches: _fit_rows(batches, share), "model string"),
+        fitting.select("_id", "text", "y").coalesce(1)
+        .mapInArrow(lambda batches: _fit_rows(batches, share), "model string"),
         "tox-model",
     )
     first = written.first()
