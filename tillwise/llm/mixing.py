@@ -3,18 +3,18 @@
 Documents are summed into cells (one per combination of source, language and topic;
 combined before the shuffle). Raking scales the cells' token weights to one target
 marginal after another until all hold. A document's probability is its cell's ratio of
-raked to natural weight, times one factor that makes the expected tokens the asked
-share; probabilities end at 1. The draw hashes the id, so a rerun keeps the same rows.
+raked to natural weight, times the expected share of the tokens. Where a ratio is too
+high for the asked share, raking goes on with the cells' weights bounded, so that others
+of the same marginals take over; the share is then the largest that leaves every
+probability at 1 or less. The expected marginals of the draw so meet the targets. The
+draw hashes the id (the text where there is none), so a rerun keeps the same rows.
 
 The work per round is on cells. Marginals are groupBy sums that Spark joins back by
-their measured size; nothing but the histogram of ratios (bounded by its bin width)
-and one row of totals reaches the driver.
+their measured size; nothing but rows of totals reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,9 @@ EXPONENTS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 KEPT_SHARE = 0.6
 TOLERANCE = 1e-6
 MAX_ROUNDS = 50
-_BIN = 1e-3
+#: Part of the share that the marginals admit that bounded raking aims at, and its rounds.
+#: At the full share it would need ever more rounds.
+AIM, BOUNDED_ROUNDS = 0.98, 15
 
 
 def token_count(text: Column) -> Column:
@@ -76,6 +78,7 @@ def rake(
     targets: dict[str, float | dict[str, float]],
     tolerance: float = TOLERANCE,
     max_rounds: int = MAX_ROUNDS,
+    kept_share: float | None = None,
 ) -> DataFrame:
     """``cells`` (with tokens) plus ``weight``, whose marginals equal the targets.
 
@@ -84,6 +87,9 @@ def rake(
     leaves out get weight 0. Raking stops when no factor of a round is farther than
     ``tolerance`` from 1, or after ``max_rounds`` (targets that contradict each other
     have no solution; the last dimension's then hold). No cells: no rows.
+
+    With ``kept_share``, ``BOUNDED_ROUNDS`` rounds more bring the weights towards what
+    that share of the tokens can give, or the share that every value's tokens admit.
     """
     full = cells.where("tokens > 0")
     total = full.agg(F.sum("tokens")).first()[0] or 1.0
@@ -92,9 +98,9 @@ def rake(
         current = current.join(_targets(full, dimension, asked), dimension)
     current = materialise(current, "mix-cells")
     columns = current.columns
-    for _ in range(max_rounds):
+
+    def one_round(step: DataFrame) -> DataFrame:
         moved = F.lit(0.0)
-        step = current
         for dimension in targets:
             sums = step.groupBy(dimension).agg(F.sum("weight").alias("had"))
             factor = F.when(F.col("had") > 0, F.col(f"t_{dimension}") / F.col("had")).otherwise(0.0)
@@ -103,47 +109,55 @@ def rake(
             moved = F.greatest(
                 moved, F.when(F.col("weight") > 0, F.abs(F.col(f"f_{dimension}") - 1)).otherwise(0.0)
             )
-        step = materialise(step.select(*columns, moved.alias("moved")), "mix-round")
+        return materialise(step.select(*columns, moved.alias("moved")), "mix-round")
+
+    for _ in range(max_rounds):
+        step = one_round(current)
         current = step.drop("moved")
         if (step.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
             break
+    if kept_share is not None and _largest_share(current) < kept_share:
+        admitted = [
+            current.groupBy(d).agg(F.sum("tokens").alias("had"), F.first(f"t_{d}").alias("t"))
+            .where("t > 0").agg(F.min(F.col("had") / F.col("t"))).first()[0] / total
+            for d in targets
+        ]
+        share = min([kept_share, *[AIM * x for x in admitted]])
+        most = F.col("tokens") / F.lit(total * share)
+        for _ in range(BOUNDED_ROUNDS):
+            current = one_round(current.withColumn("weight", F.least("weight", most))).drop("moved")
     return current.drop(*[f"t_{d}" for d in targets])
 
 
+def _ratio(raked: DataFrame) -> Column:
+    """Raked to natural weight of a cell, both as shares of their sums."""
+    sums = raked.agg(F.sum("tokens"), F.sum("weight")).first()
+    total, weight = sums[0] or 1.0, sums[1] or 1.0
+    return (F.col("weight") / F.lit(weight)) / (F.col("tokens") / F.lit(total))
+
+
+def _largest_share(raked: DataFrame) -> float:
+    """The share of the tokens at which the first probability reaches 1."""
+    return 1.0 / (raked.agg(F.max(_ratio(raked))).first()[0] or 1.0)
+
+
 def calibrate(raked: DataFrame, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """``raked`` plus ``ratio`` and ``probability``; expected tokens are ``kept_share`` of all.
+    """``raked`` plus ``ratio`` and ``probability``, in proportion to each other.
 
-    The factor is read from a histogram of ratios with bins of 0.1 percent. Where even
-    probability 1 on all cells with weight gives fewer tokens, all of these get 1.
+    Expected tokens are ``kept_share`` of all, or the largest share that leaves every
+    probability at 1 or less: a higher one would miss the marginals of the weights.
     """
-    sums = raked.agg(F.sum("tokens"), F.sum("weight")).first()
-    total, weight = sums[0] or 1.0, sums[1] or 1.0
-    ratio = (F.col("weight") / F.lit(weight)) / (F.col("tokens") / F.lit(total))
-    rated = raked.withColumn("ratio", ratio)
-    bins = (
-        rated.where("ratio > 0").groupBy(F.round(F.ln("ratio") / _BIN).alias("bin"))
-        .agg(F.sum("tokens").alias("tokens")).orderBy("bin").collect()
-    )
-    wanted = kept_share * total
-
-    def expected(factor: float) -> float:
-        return math.fsum(b.tokens * min(1.0, factor * math.exp(b.bin * _BIN)) for b in bins)
-
-    low, high = 0.0, 1.0
-    if bins and expected(1e12) > wanted:
-        while expected(high) < wanted:
-            high *= 2
-        for _ in range(60):
-            middle = (low + high) / 2
-            low, high = (middle, high) if expected(middle) < wanted else (low, middle)
-    else:
-        high = 1e12
-    return rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(high)))
+    share = min(kept_share, _largest_share(raked))
+    rated = raked.withColumn("ratio", _ratio(raked))
+    return rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(share)))
 
 
 def features(docs: DataFrame, *keep: str) -> DataFrame:
-    """Columns ``keep`` of ``docs`` plus source, lang, and from the text ``tokens`` and ``topic``."""
-    counted = docs.select(*keep, "source", "lang", "text", token_count(F.col("text")).alias("tokens"))
+    """Columns ``keep`` of ``docs``, source, lang, and ``tokens``, ``topic``, ``_text_hash`` of the text."""
+    counted = docs.select(
+        *keep, "source", "lang", "text", token_count(F.col("text")).alias("tokens"),
+        F.xxhash64("text").alias("_text_hash"),
+    )
     return counted.withColumn("topic", topic_of(F.col("text"), F.col("tokens"))).drop("text")
 
 
@@ -163,8 +177,12 @@ def mix(
 
     Every row is kept, with its decision. A document without tokens has its cell's
     probability, and 0 where no document of the cell has tokens. Rows with equal ids
-    share one draw.
+    share one draw; rows without an id are drawn by ``_text_hash``, if there is one.
     """
+    number = draw(seed, id_col)
+    if "_text_hash" in docs.columns:
+        number = F.when(F.col(id_col).isNull(), draw(seed, id_col, "_text_hash")).otherwise(number)
+    own = ("probability", "ratio", "selected", "_text_hash")
     keyed = docs.withColumns({f"_cell_{d}": _category(d) for d in dimensions})
     side = cells.select(
         *[F.col(d).alias(f"_at_{d}") for d in dimensions],
@@ -174,14 +192,15 @@ def mix(
     joined = keyed.join(side, on, "left")
     probability = F.coalesce("_probability", F.lit(0.0))
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in ("probability", "ratio", "selected")],
+        *[F.col(f"`{c}`") for c in docs.columns if c not in own],
         probability.alias("probability"),
         F.coalesce("_ratio", F.lit(0.0)).alias("ratio"),
-        (draw(seed, id_col) < probability).alias("selected"),
+        (number < probability).alias("selected"),
     )
 
 
 def weights(counted: DataFrame, targets=None, kept_share: float = KEPT_SHARE) -> DataFrame:
     """Calibrated cells of a table with ``tokens`` and the dimensions, written."""
     cells = materialise(cells_of(counted), "mix-cells")
-    return materialise(calibrate(rake(cells, targets or EXPONENTS), kept_share), "mix-weights")
+    raked = rake(cells, targets or EXPONENTS, kept_share=kept_share)
+    return materialise(calibrate(raked, kept_share), "mix-weights")
