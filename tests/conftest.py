@@ -1,16 +1,14 @@
 import sys
-from datetime import datetime, timedelta
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parent.parent)]
 
+from sample_data import START  # noqa: E402
 from tillwise.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-START = datetime(2024, 1, 1)
-
 
 @pytest.fixture(scope="session")
 def spark():

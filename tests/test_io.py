@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import SMALL
+from sample_data import SMALL
 from tillwise import workspace
 from tillwise.plans import batch_run
 from tillwise.sources import feeds, readers, writers

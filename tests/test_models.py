@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from sample_data import SMALL
 from tillwise.operators import anomaly, evaluation, models
 from tillwise.plans import trained
 from tillwise.workspace import fresh_path

@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from sample_data import SMALL
 from oracle_check import compare, duck
 from tillwise.plans import oracle
 from tillwise.plans.queries import REGISTRY

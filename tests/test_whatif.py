@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import START
+from sample_data import START
 from tillwise.operators import whatif
 from tillwise.sources import feeds
 
