@@ -25,7 +25,6 @@ from __future__ import annotations
 import json
 import math
 import re
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
@@ -52,7 +51,7 @@ ERRORS, CERTAIN = 2.0, 1.5
 STEPS = 40
 THRESHOLD = 0.5
 _CACHED_WORDS = 200_000
-_BATCH_TOKENS = 300_000
+_BATCH_TOKENS = 150_000
 _BATCH_ROWS = 500
 
 TOKEN = re.compile(r"[^\W_]+")
@@ -160,11 +159,13 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
              "doc": [0.0, 0.0, 0.0], "offset": math.log((base + 1e-3) / (1 - base + 1e-3))}
     if base in (0.0, 1.0):
         return model
-    docs = [tokenise(t) for t in texts]
-    named = {w: features_of(w) for w in set().union(*docs)}
+    # Texts as numbers of their distinct words: the only thing kept for every token.
+    numbers = _Numbers()
+    docs = [np.fromiter(map(numbers.__getitem__, tokenise(t)), np.int32) for t in texts]
+    named = [features_of(w) for w in numbers]
     seen = (Counter(), Counter())
     for words, y in zip(docs, labels):
-        seen[int(y)].update({f for w in set(words) for f in named[w]})
+        seen[int(y)].update({f for w in np.unique(words) for f in named[w]})
     toxic, clean = labels.sum(), len(labels) - labels.sum()
 
     def odds(f: str) -> float:
@@ -174,9 +175,16 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
     common = [f for f, c in (seen[0] + seen[1]).items() if c >= MIN_DOCS]
     common.sort(key=lambda f: (-abs(odds(f)) * math.sqrt(seen[0][f] + seen[1][f]), f))
     at = {f: i for i, f in enumerate(common[: MAX_WEIGHTS // 2])}
-    marks = _marks([f for f in at if seen[1][f] >= MIN_DOCS and odds(f) >= LOG_ODDS], odds, seen,
-                   [{f for w in set(d) for f in named[w]} for d, y in zip(docs, labels) if y])
-    known = {w: [f for f in fs if f in at] for w, fs in named.items()}
+    likely = {f for f in at if seen[1][f] >= MIN_DOCS and odds(f) >= LOG_ODDS}
+    marks = _marks(sorted(likely), odds, seen, [
+        {f for w in np.unique(d) for f in named[w] if f in likely} for d, y in zip(docs, labels) if y
+    ])
+    size, many = len(at), len(named)
+    # Word and feature of every feature that a distinct word has.
+    has = [(w, at[f]) for w, fs in enumerate(named) for f in fs if f in at]
+    has_word, has_feat = np.array(has, np.int32).reshape(-1, 2).T
+    marked = np.array([any(f in marks for f in fs) for fs in named], bool)
+    del named, has, common, seen, numbers
 
     # Tokens are numbered through all texts; windows are put side by side, longest first.
     ends = np.cumsum([len(d) for d in docs])
@@ -185,33 +193,32 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
     lengths = np.array([b - a for a, b in cuts], np.int64)
     steps = max(1, int(lengths.max(initial=0)))
     inside = np.arange(steps)[:, None] < lengths[None, :]
-    place = np.empty(int(lengths.sum()), np.int64)  # of a token in the grid of steps x windows
+    word = np.concatenate(docs)
+    place = np.empty(len(word), np.int32)  # of a token in the grid of steps x windows
     for s, (a, b) in enumerate(cuts):
         place[a:b] = np.arange(b - a) * len(cuts) + s
     tags = np.zeros((steps, len(cuts)), np.float32)
-    where = array("i")  # token and feature of every feature that occurs
-    token = 0
-    for words, y in zip(docs, labels):
-        for word in words:
-            own = known[word]
-            for f in own:
-                where.extend((token, at[f]))
-            tags.flat[place[token]] = y and any(f in marks for f in own)
-            token += 1
-    tokens, feats = np.frombuffer(where, dtype=np.int32).reshape(-1, 2).T.astype(np.int64)
-    size = len(at)
-    edge = np.zeros(len(place) + 1, bool)
+    tags.flat[place] = marked[word] & np.repeat(labels > 0, [len(d) for d in docs])
+    del docs
+    edge = np.zeros(len(word) + 1, bool)
     edge[ends] = edge[0] = True
-    before, after = ~edge[tokens + 1], ~edge[tokens]  # the text has a token after, before it
+    linked = ~edge[1:-1]  # a token and the next belong to one text
 
-    own_cell, next_cell, last_cell = place[tokens], place[tokens[before] + 1], place[tokens[after] - 1]
-    cells = np.concatenate([own_cell, next_cell, last_cell])
+    def of_words(weights):
+        return np.bincount(has_word, weights[has_feat], many).astype(np.float32)
+
+    def of_features(sums):
+        return np.bincount(has_feat, sums[has_word], size)
 
     def spread(x):
-        own, near = x[:size], x[size : 2 * size]
-        values = np.concatenate([own[feats], near[feats[before]], near[feats[after]]])
-        scores = np.bincount(cells, values, tags.size).reshape(tags.shape)
-        return (scores + x[2 * size]).astype(np.float32)
+        own, near = of_words(x[:size]), of_words(x[size : 2 * size])
+        scores = own[word] + np.float32(x[2 * size])
+        around = near[word]
+        scores[1:] += around[:-1] * linked
+        scores[:-1] += around[1:] * linked
+        grid = np.zeros_like(tags)
+        grid.flat[place] = scores
+        return grid
 
     both = inside[1:]
     had = np.array([
@@ -222,12 +229,12 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
     def gradient(x):
         trans = x[2 * size + 1 :].reshape(2, 2)
         expected, node = _expected(spread(x), lengths, trans, inside)
-        miss = np.where(inside, node - tags, 0.0).reshape(-1)
+        miss = (node - tags).flat[place]
         g = np.zeros_like(x)
-        g[:size] = np.bincount(feats, miss[own_cell], size)
-        g[size : 2 * size] = np.bincount(feats[before], miss[next_cell], size) + np.bincount(
-            feats[after], miss[last_cell], size
-        )
+        g[:size] = of_features(np.bincount(word, miss, many))
+        beside = np.bincount(word[:-1], miss[1:] * linked, many)
+        beside += np.bincount(word[1:], miss[:-1] * linked, many)
+        g[size : 2 * size] = of_features(beside)
         g[2 * size] = miss.sum()
         g[2 * size + 1 :] = (expected - had).reshape(-1)
         return g + 0.05 * x
@@ -239,7 +246,10 @@ def fit(texts: list[str], labels: list[int], share: float | None = None) -> dict
         "near": {f: float(x[size + i]) for f, i in at.items()},
         "trans": trans.tolist(), "bias": float(x[2 * size]),
     }
-    sums = np.array([_summary(p) for p in Tagger(model).tag(texts)])
+    tagger = Tagger(model)
+    sums = np.array([
+        _summary(p) for k in range(0, len(texts), _BATCH_ROWS) for p in tagger.tag(texts[k : k + _BATCH_ROWS])
+    ])
 
     share = base if share is None else min(max(share, 1e-3), 1 - 1e-3)
     weight = np.where(labels == 1, share / base, (1 - share) / (1 - base))
@@ -323,7 +333,9 @@ class Tagger:
 def _fit_rows(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
     rows.sort(key=lambda r: (r[0] is None, r[0], r[1]))
-    model = fit([r[1] for r in rows], [r[2] for r in rows], share)
+    texts, marks = [r[1] for r in rows], [r[2] for r in rows]
+    del rows
+    model = fit(texts, marks, share)
     yield pa.RecordBatch.from_pydict({"model": [json.dumps(model)]})
 
 
@@ -344,7 +356,8 @@ def train(
     """Fit on at most ``sample`` labelled documents of each class, in one task.
 
     Texts are read whole; where they would exceed ``sample`` texts of ``TRAIN_TOKENS``
-    tokens (or ``TRAIN_CHARS`` characters), those that do not fit are left out.
+    tokens (or ``TRAIN_CHARS`` characters), those that no longer fit are left out and
+    shorter ones after them taken, so the end of a full sample favours short texts.
     Labels other than 0 and 1 (null too) and ids without a document are passed over;
     a null text counts as empty; an id labelled both ways counts as toxic.
     """
