@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import ann_graph, bpe, chat, knn_join, license_scan, mixing, pii, simhash, toxicity, warc
+from tillwise.llm import (
+    alignment, ann_graph, bpe, chat, knn_join, lexical, license_scan, mixing, pii, simhash,
+    substring, toxicity, warc,
+)
 from tillwise.workspace import materialise
 
 # The key of the registered query; deployments pass their own.
 PII_KEY = "registered query"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +100,20 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    index = lexical.build(table(spark, folder, "documents"))
+    return lexical.search(index, table(spark, folder, "benchmark"))
+
+
+def op12_substring(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), BYTE_LEVEL, PIECES).documents
+
+
 def _list(values) -> str:
     return ", ".join(values)
 
@@ -141,18 +160,24 @@ def _license_sql() -> str:
     """
 
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    f"'{lexical.TERM}')"
+)
+
 TOPK_SQL = """
 with v as (
-    select vec_id, [floor(256 * x::double) for x in embedding] as q from embeddings
+    select distinct vec_id, [floor(256 * x::double) for x in embedding] as q from embeddings
     where embedding is not null
       and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
 ), scored as (
-    select a.vec_id as query_id, b.vec_id,
-           list_inner_product(a.q, b.q)::bigint as score
+    select a.vec_id as query_id, a.q as asked, b.vec_id,
+           max(list_inner_product(a.q, b.q))::bigint as score
     from v a join v b on b.vec_id <> a.vec_id where a.vec_id % 50 = 0
+    group by all
 ), ranked as (
     select query_id, vec_id, score,
-           row_number() over (partition by query_id order by score desc, vec_id) as rank
+           row_number() over (partition by query_id, asked order by score desc, vec_id) as rank
     from scored
 )
 select query_id, rank::integer as rank, vec_id, score from ranked where rank <= 5
@@ -179,6 +204,62 @@ select page_id, payload_bytes::bigint as payload_bytes,
 from g
 """
 
+LEXICAL_SQL = rf"""
+with t as (
+    select row_number() over () as r, doc_id, {_TERMS} as terms from documents
+), d as (
+    select r, doc_id, terms, len(terms) as n from t where len(terms) > 0
+), c as (
+    select count(*) as total, sum(n)::bigint as tokens from d
+), q as (
+    select item_id, text, term, count(*) as times
+    from (select item_id, text, unnest({_TERMS}) as term
+          from (select distinct item_id, text from benchmark))
+    group by all
+), p as (
+    select r, term, count(*) as tf from (select r, unnest(terms) as term from d)
+    where term in (select term from q) group by all
+), w as (
+    select term, floor(1000 * ln((2 * total + 2)::double / (2 * count(*) + 1)))::bigint as w
+    from p, c group by term, total
+), scored as (
+    select q.item_id, q.text, d.r, d.doc_id,
+           sum(q.times * w.w * ((1000000000 * p.tf)
+               // (1000 * p.tf + 12 * (100 - 25 + (25 * d.n * c.total) // c.tokens))))::bigint as score
+    from q join p using (term) join w using (term) join d using (r), c
+    group by all
+), ranked as (
+    select item_id, doc_id, score, row_number() over (
+        partition by item_id, text order by score desc, doc_id nulls last) as rank
+    from scored where score > 0
+)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 20
+"""
+
+SUBSTRING_SQL = r"""
+with w as (
+    select row_number() over () as r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+    from documents
+), win as (
+    select r, doc_id, i, array_to_string(ws[i : i + 12], ' ') as g
+    from (select *, unnest(range(1, len(ws) - 11)) as i from w where len(ws) >= 13)
+), least as (
+    select g, min(doc_id) as first from win group by g
+), hit as (
+    select distinct r, i + unnest(range(13)) as at from win join least using (g)
+    where first < doc_id or (doc_id is null and first is not null)
+), words as (
+    select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as at from w
+), kept as (
+    select r, count(*) as n, string_agg(word, ' ' order by at) as kept
+    from words anti join hit using (r, at) group by r
+)
+select w.doc_id, len(w.ws)::bigint as n_words, (len(w.ws) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(kept, '')) as kept_sha256
+from w left join kept using (r)
+"""
+
 REGISTRY = {
     "op1_topk": op1_topk,
     "op2_bpe": op2_bpe,
@@ -190,6 +271,15 @@ REGISTRY = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_lexical": op11_lexical,
+    "op12_substring": op12_substring,
+    "op13_alignment": op13_alignment,
 }
 
-ORACLE = {"op1_topk": TOPK_SQL, "op3_license": _license_sql(), "op10_warc": WARC_SQL}
+ORACLE = {
+    "op1_topk": TOPK_SQL,
+    "op3_license": _license_sql(),
+    "op10_warc": WARC_SQL,
+    "op11_lexical": LEXICAL_SQL,
+    "op12_substring": SUBSTRING_SQL,
+}
