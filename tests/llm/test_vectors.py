@@ -70,6 +70,49 @@ def test_huge_components_stay_exact(spark, rows):
     assert (0, 1, 2, 2**63 - 1) in got and (0, 2, 1, -(2**63)) in got
 
 
+def products_by_id(vectors, asked, k):
+    """Brute force, each query row on its own: the best score of every other id."""
+    out = []
+    for q, a in sorted({(i, tuple(v)) for i, v in vectors if i in asked}):
+        best = {}
+        for i, b in vectors:
+            score = sum(int(np.floor(256 * np.float64(x))) * int(np.floor(256 * np.float64(y))) for x, y in zip(a, b))
+            if i != q:
+                best[i] = max(score, best.get(i, score))
+        ranked = sorted((-s, i) for i, s in best.items())[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(ranked, 1)]
+    return sorted(out)
+
+
+def test_topk_with_repeated_ids(spark, rows, monkeypatch):
+    """Vectors that share an id neither hide others nor take their places."""
+    monkeypatch.setattr(knn_join, "CELL_ROWS", 8)
+    monkeypatch.setattr(knn_join, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(knn_join, "DATA_BLOCK", 16)
+    vectors = [(50, v) for _, v in sample(40, 3, 5)] + [(i, v) for i, v in sample(30, 3, 6)]
+    vectors += [(i % 7, v) for i, v in sample(60, 3, 7)] + [(100 + i, [1.0, 0.5, 0.25]) for i in range(9)]
+    frame = table(rows, vectors)
+    got = knn_join.top_k(frame, frame.where("vec_id in (0, 50, 100, 11)"))
+    assert sorted(map(tuple, got.collect())) == products_by_id(vectors, {0, 50, 100, 11}, 5)
+    few = [(50, [1.0 + i, 2.0]) for i in range(6)] + [(i, [0.5, i / 8]) for i in range(8)]
+    got = knn_join.top_k(table(rows, few), table(rows, few).where("vec_id = 50"))
+    assert sorted(map(tuple, got.collect())) == products_by_id(few, {50}, 5)
+
+
+def test_graph_search_with_repeated_ids(spark, rows):
+    few = [(50, [1.0 + i, 2.0]) for i in range(6)] + [(i, [0.5, (i + 1) / 8]) for i in range(8)]
+    few += [(3, [4.0, 0.1]), (3, [0.5, 9.0])]
+    got = ann_graph.nearest(table(rows, few), table(rows, few).where("vec_id = 50")).collect()
+    want = []
+    for _, a in few[:6]:
+        best = {}
+        for i, b in few[6:]:
+            score = float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b))
+            best[i] = max(score, best.get(i, -2.0))
+        want += [(r, i, round(-s, 9)) for r, (s, i) in enumerate(sorted((-s, i) for i, s in best.items())[:5], 1)]
+    assert sorted((r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("leaf", [64, 2048])
 def test_graph_search_recall(spark, rows, monkeypatch, leaf):
     monkeypatch.setattr(ann_graph, "LEAF", leaf)

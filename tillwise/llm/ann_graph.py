@@ -488,8 +488,9 @@ def nearest(
     A candidate with the query's own id is passed over; ties rank by smaller id. Vectors
     that are null, zero or hold null or non-finite components, and null ids, take no part.
     Of vectors of different lengths the shorter counts as ending in zeros. Queries with
-    equal id and vector share an answer. ``score`` is the cosine in double precision of
-    the original vectors.
+    equal id and vector share an answer; queries that share an id only are ranked each on
+    its own. A candidate is an id; of several vectors the nearest found counts. ``score``
+    is the cosine in double precision of the original vectors.
     """
     spark: SparkSession = vectors.sparkSession
     nodes = materialise(nodes_of(vectors, id_col, vec_col, k + 1), "ann-nodes")
@@ -527,13 +528,14 @@ def nearest(
         .select("query", "qx", "nx", "ids")
         .mapInArrow(cosine, "query long, near_ids array<long>, score double")
         .select("query", "score", F.explode("near_ids").alias("vec_id"))
+        .groupBy("query", "vec_id").agg(F.max("score").alias("score"))
         .withColumn("at", F.row_number().over(
             W.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
         .where(F.col("at") <= k + 1)
     )
     # Every row that asks, by its own vector.
     rows = _askers(queries, id_col, vec_col, asked)
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (
         rows.join(scored.drop("at"), "query")
         .where("vec_id <> query_id")

@@ -100,11 +100,11 @@ def _assign(rows: DataFrame, pivots, largest: float, is_query: bool) -> DataFram
             cell, dist = _nearest(points, pivots.value)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(dist)],
-                ["vec", "ids", "cell", "dist"],
+                ["vec", "ids", "first", "cell", "dist"],
             )
 
-    return rows.select("vec", "ids").mapInArrow(
-        run, "vec binary, ids array<long>, cell int, dist double"
+    return rows.select("vec", "ids", "first").mapInArrow(
+        run, "vec binary, ids array<long>, first boolean, cell int, dist double"
     )
 
 
@@ -125,11 +125,12 @@ def plan_groups(queries: DataFrame, data: DataFrame, between: np.ndarray, k: int
 
     Reads only the cells' summaries, of which there are at most as many as pivots.
     """
-    nearest = data.withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy("dist")))
+    bounding = data.where("first") if "first" in data.columns else data
+    nearest = bounding.withColumn("r", F.row_number().over(W.partitionBy("cell").orderBy("dist")))
     points = nearest.where(F.col("r") <= k).groupBy("cell").agg(
         F.array_sort(F.collect_list("dist")).alias("near"))
     cells = data.groupBy("cell").agg(F.count("*").alias("n"), F.max("dist").alias("far"))
-    summary = {r.cell: r for r in cells.join(points, "cell").collect()}
+    summary = {r.cell: r for r in cells.join(points, "cell", "left").collect()}
     asked = {r.cell: r for r in queries.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("dist").alias("far")).collect()}
     homes = np.array(sorted(summary))
@@ -156,7 +157,7 @@ def plan_groups(queries: DataFrame, data: DataFrame, between: np.ndarray, k: int
         for i in (c for c, at in group_of.items() if at == group):
             reach = asked[i].far
             bounds = np.sort(np.concatenate([
-                reach + between[i, j] + np.array(summary[j].near) for j in homes]))
+                reach + between[i, j] + np.array(summary[j].near or []) for j in homes]))
             theta = bounds[min(k, len(bounds)) - 1] if len(bounds) >= k else np.inf
             theta += _MARGIN * (1 + abs(theta)) if np.isfinite(theta) else 0
             lowest = np.minimum(lowest, between[i, homes] - reach - theta)
@@ -190,40 +191,55 @@ def _products(queries: np.ndarray, data: np.ndarray):
 
 
 def _solve(k: int):
+    """Per query vector of a block, the k best ids of a block of data: (vec, vec_id, score)."""
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [])
         if left.num_rows and right.num_rows:
-            # Equal scores rank by id: with rows in order of smallest id, a stable sort does.
+            # Columns in order of id: equal scores rank by id, so a stable sort does.
             ids = right["ids"].combine_chunks()
-            starts = ids.offsets.to_numpy()
             flat = ids.values.to_numpy()
-            order = np.argsort(flat[starts[:-1]], kind="stable")
-            data = stack(right["vec"].combine_chunks(), "<i8")[order]
+            owner = np.repeat(np.arange(len(ids)), np.diff(ids.offsets.to_numpy()))
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            start = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+            data = stack(right["vec"].combine_chunks(), "<i8")
             some = left["vec"].combine_chunks()
             asked = stack(some, "<i8")
             for a in range(0, len(asked), 256):
-                scores = _products(asked[a : a + 256], data)
+                # An id counts by the best of its vectors.
+                scores = _products(asked[a : a + 256], data)[:, owner]
+                if len(start) < len(flat):
+                    scores = np.maximum.reduceat(scores, start, axis=1)
                 for i, row in enumerate(scores):
                     if len(row) > k:
                         kth = np.partition(row, len(row) - k)[len(row) - k]
                         keep = np.flatnonzero(row >= kth)
                     else:
                         keep = np.arange(len(row))
-                    # Every vector has an id, so k vectors hold the k best rows.
-                    keep = keep[np.argsort(-row[keep], kind="stable")][:k]
-                    pairs = sorted(
-                        (-int(row[x]), int(v)) for x in keep
-                        for v in flat[starts[order[x]] : starts[order[x] + 1]]
-                    )[:k]
-                    out[0].extend([some[a + i].as_py()] * len(pairs))
-                    out[1].extend(v for _, v in pairs)
-                    out[2].extend(-s for s, _ in pairs)
-        return pa.table({"vec": pa.array(out[0], pa.binary()), "vec_id": pa.array(out[1], pa.int64()),
-                         "score": pa.array(out[2], pa.int64())})
+                    keep = keep[np.argsort(~row[keep], kind="stable")][:k]
+                    out[0].extend([some[a + i].as_py()] * len(keep))
+                    out[1].append(flat[start[keep]])
+                    out[2].append(row[keep])
+        values = [np.concatenate(o) if o else np.empty(0, np.int64) for o in out[1:]]
+        return pa.table({"vec": pa.array(out[0], pa.binary()), "vec_id": pa.array(values[0], pa.int64()),
+                         "score": pa.array(values[1], pa.int64())})
 
     return run
 
 
+def _marked(data: DataFrame, rows: DataFrame) -> DataFrame:
+    """``data`` with ``first``: whether the vector is the smallest of one of its ids.
+
+    Different vectors of that kind have different ids, so k of them bound k candidates.
+    """
+    twice = rows.groupBy("id").agg(F.count("*").alias("n"), F.min("vec").alias("first_vec"))
+    if twice.where("n > 1").isEmpty():
+        return data.withColumn("first", F.lit(True))
+    some = twice.select(F.col("first_vec").alias("vec")).distinct().withColumn("first", F.lit(True))
+    return data.join(some, "vec", "left").fillna({"first": False})
+
+
 def top_k(
     vectors: DataFrame,
     queries: DataFrame,
@@ -237,13 +253,14 @@ def top_k(
     with the query's own id is passed over. Equal scores rank by smaller id. Vectors that
     are null or hold null or non-finite components, and null ids, take no part. Vectors of
     different lengths are compared over the shorter one's components; an empty vector
-    scores 0. Queries with equal id and vector share one answer; rows of equal id and
-    vector are one candidate. Scores beyond a long end at its limits.
+    scores 0. Queries with equal id and vector share one answer; queries that share an id
+    only are ranked each on its own. A candidate is an id; of several vectors its best
+    counts. Scores beyond a long end at its limits.
     """
     spark: SparkSession = vectors.sparkSession
-    rows = quantised(vectors, id_col, vec_col).distinct()
+    rows = materialise(quantised(vectors, id_col, vec_col).distinct(), "knn-rows")
     asked = materialise(quantised(queries, id_col, vec_col).distinct(), "knn-queries")
-    data = materialise(distinct(rows, "vec", "id", k + 1), "knn-data")
+    data = materialise(_marked(distinct(rows, "vec", "id", k + 1), rows), "knn-data")
     shapes = "query_id long, rank int, vec_id long, score long"
     largest, count = _largest_norm(data)
     if not count:
@@ -255,7 +272,8 @@ def top_k(
     shared = spark.sparkContext.broadcast(points)
     between = np.stack([np.sqrt(((points - p) ** 2).sum(axis=1)) for p in points])
     # Equal query vectors are solved once.
-    different = asked.select("vec").distinct().withColumn("ids", F.array().cast("array<long>"))
+    different = asked.select("vec").distinct().select(
+        "vec", F.array().cast("array<long>").alias("ids"), F.lit(True).alias("first"))
     query_cells = materialise(_assign(different, shared, largest, True), "knn-query-cells")
     data_cells = materialise(_assign(data, shared, largest, False), "knn-data-cells")
     groups, limits = plan_groups(query_cells, data_cells, between, k + 1)
@@ -278,9 +296,13 @@ def top_k(
     part = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         _solve(k + 1), "vec binary, vec_id long, score long"
     )
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    merged = part.withColumn("at", F.row_number().over(
-        W.partitionBy("vec").orderBy(F.desc("score"), "vec_id"))).where(F.col("at") <= k + 1)
+    # An id may have vectors in several blocks.
+    merged = (
+        part.groupBy("vec", "vec_id").agg(F.max("score").alias("score"))
+        .withColumn("at", F.row_number().over(W.partitionBy("vec").orderBy(F.desc("score"), "vec_id")))
+        .where(F.col("at") <= k + 1)
+    )
+    best = W.partitionBy("query_id", "vec").orderBy(F.desc("score"), "vec_id")
     return (
         asked.withColumnRenamed("id", "query_id").join(merged.drop("at"), "vec")
         .where("vec_id <> query_id")
