@@ -5,7 +5,9 @@ import gzip
 import hashlib
 import io
 import itertools
+import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -59,6 +61,43 @@ def test_windows_hold_every_turn_once(spark, rows):
     assert chat.format_windows(turns(rows, []), 256, 64).count() == 0
 
 
+def counted(text):
+    return -(-len(text.encode()) // 4) + 4
+
+
+@pytest.mark.parametrize("budget,history,system", [(100, 80, 0), (100, 80, 9), (120, 30, 20), (64, 0, 5), (90, 89, 70)])
+def test_windows_keep_to_the_budget(spark, rows, budget, history, system):
+    rng = random.Random(budget + system)
+    said = [("user", "assistant")[i % 2] for i in range(300)]
+    data = [(1, i + 1, r, f"{i} " + "x" * rng.randint(0, 60)) for i, r in enumerate(said)]
+    data += [(1, 150, "user", "long " * 100)]
+    head = [("system", "s" * 4 * (system - 4))] if system else []
+    data = [(1, 0, *h) for h in head] + data
+    made = chat.format_windows(turns(rows, data), budget=budget, history=history).collect()
+    order = [(r, x) for _, r, x in sorted(d[1:] for d in data)]
+    seen = []
+    for w in sorted(made, key=lambda w: w.window):
+        shown = chat.parse(w.formatted)
+        own = shown[w.repeated :]
+        lead = 1 if head and own[0] != head[0] else 0
+        assert shown[:lead] == head[:lead]
+        past = shown[lead : w.repeated]
+        begin = len(seen) + (own[0] in head)
+        assert past == order[begin - len(past) : begin]
+        targets = [t for t in own if t not in head]
+        fixed = sum(counted(x) for _, x in targets + head)
+        size = fixed + sum(counted(x) for _, x in past)
+        single = len(targets) == 1
+        assert size <= budget or (single and not past) or system > budget // 2
+        # As much history as fits: one turn more would be too long.
+        allowed = min(history, max(0, budget - fixed))
+        assert sum(counted(x) for _, x in past) <= allowed
+        if begin - len(past) > len(head):
+            assert sum(counted(x) for _, x in [order[begin - len(past) - 1], *past]) > allowed
+        seen += own
+    assert seen == order
+
+
 PAGES = "page_id long, url string, html string, digest string, size long, refers_to long"
 
 

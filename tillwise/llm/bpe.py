@@ -39,6 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.memory import give_back, returning_memory
 from tillwise.llm.tables import bucketed
 
 CHUNK_BYTES = 16 << 20
@@ -96,6 +97,7 @@ def _chunk_rows(keys, numbers, counts, known, parts) -> pa.RecordBatch:
     )
 
 
+@returning_memory
 def _split(batches: Iterator[pa.RecordBatch], parts: int, limit: int) -> Iterator[pa.RecordBatch]:
     def fresh():
         known: dict[bytes, int] = defaultdict()
@@ -143,6 +145,7 @@ def _check(path: str) -> None:
         raise ValueError(f"{path} does not drop white space between words")
 
 
+@returning_memory
 def _encode_words(batches, path: str) -> Iterator[pa.RecordBatch]:
     tokenizer = load_tokenizer(path)
     encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
@@ -233,6 +236,13 @@ def encode(
     null or empty text has no ids. Other columns of ``docs`` are not read.
     """
     _check(tokenizer)
+
+    def assembled(texts: pa.Table, words: pa.Table) -> pa.Table:
+        try:
+            return _assemble(texts, words, packed)
+        finally:
+            give_back()
+
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MAX_PARTS, max(16, 2 * shuffles))
     # In buckets, so that the word numbers are not moved again to meet the ids.
@@ -254,7 +264,7 @@ def encode(
         .groupBy("chunk")
         .cogroup(words.groupBy("chunk"))
         .applyInArrow(
-            lambda texts, words: _assemble(texts, words, packed),
+            assembled,
             f"key long, n_tokens long, ids {'binary' if packed else 'array<int>'}",
         )
         .withColumnRenamed("key", id_col)
@@ -288,6 +298,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFram
             return np.frombuffer(ids.as_py(), "<u4").tolist()
         return ids.values.to_pylist()
 
+    @returning_memory
     def join(batches):
         table = pieces.value
         for batch in batches:

@@ -1,15 +1,16 @@
 """Chat formatting in budgeted windows.
 
-Prefix sums of turn tokens choose the windows of a conversation: a turn belongs to the
-window its first token falls into, windows being ``step`` tokens wide. A window shows
+Prefix sums of turn tokens choose the windows of a conversation. Windows are ``step`` tokens
+wide, what the budget leaves beside the system turn and the history. Turns that lie within
+one of them share it; a turn across its end has a window of its own. A window shows
 
-* the system turn (the first row, if its role is ``system``), masked,
-* history: turns before the window that start at most ``history`` tokens ahead of it,
-  repeated and masked,
+* the system turn (the first row, if its role is ``system``), masked where it is repeated,
+* history: the turns before it, of together at most ``history`` tokens, and no more than the
+  budget leaves; repeated and masked, in every window they reach,
 * its own turns, of which assistant texts are under the loss mask.
 
-So every turn is a target once, spans are turn-aligned, and a window holds at most
-``step + history`` tokens besides the system turn and the rest of the last turn in it.
+So every turn is a target once, spans are turn-aligned, and a window has at most ``budget``
+tokens, its system turn included, unless a single turn (or the system turn) is longer.
 
 The template is ``<|role|>text<|end|>`` per turn. Control strings inside roles and
 texts are escaped by one more backslash after their first character, which the reader
@@ -31,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillwise.workspace import materialise
+
 BUDGET = 2048
 HISTORY = 512
 BLOCK_TURNS = 128
@@ -60,7 +63,8 @@ def turn_tokens(text: Column) -> Column:
 def positions(rows: DataFrame) -> DataFrame:
     """``rows`` (conv_id, turn, role, text) plus ``pos`` from 0, ``tokens`` and ``start``.
 
-    ``start`` is the number of tokens before the turn, the system turn not counted.
+    ``start`` is the number of tokens before the turn, the system turn not counted;
+    ``system`` that turn's tokens, 0 without one.
     Turns are ordered by number, nulls first; equal numbers by role, then text, so ties
     and repeated rows have a fixed order. Null roles and texts count as empty. Rows with
     a null conv_id are one conversation.
@@ -97,29 +101,43 @@ def positions(rows: DataFrame) -> DataFrame:
         "conv_id", "turn", "role", "text", "tokens",
         (F.col("turns_before") + F.col("at")).alias("pos"),
         F.greatest(raw, F.lit(0)).alias("start"),
+        system.cast("long").alias("system"),
     )
 
 
 def windows(placed: DataFrame, budget: int, history: int) -> DataFrame:
-    """A row for every turn of every window: ``window``, and ``part`` system, history or target."""
+    """``conv_id, pos, window, part`` for every turn of every window.
+
+    ``part``: system, history or target. Windows are numbered in order, with gaps. A system
+    turn that leaves less than an eighth of the budget leaves that eighth all the same.
+    """
     if not 0 <= history < budget:
         raise ValueError("history must be at least 0 and less than the budget")
-    step = budget - history
-    system = F.expr(f"pos = 0 and role = '{SYSTEM_ROLE}'")
-    target = F.floor(F.col("start") / step)
-    after = target + 1
-    known = placed.withColumn("is_system", system)
-    targets = known.select("*", target.alias("window"), F.lit("target").alias("part"))
-    # Only windows that have a turn of their own exist.
-    real = targets.where("not is_system").select(
-        F.col("conv_id").alias("w_conv"), F.col("window").alias("w_window")).distinct()
-    seen = known.where(~F.col("is_system") & (F.col("start") >= after * step - history)).select(
-        "*", after.alias("window"), F.lit("history").alias("part")
-    ).join(real, F.expr("conv_id <=> w_conv and window = w_window"), "left_semi")
-    heads = known.where("is_system").join(
-        real.where("w_window > 0"), F.expr("conv_id <=> w_conv")
-    ).select(*known.columns, F.col("w_window").alias("window"), F.lit("system").alias("part"))
-    return targets.unionByName(seen).unionByName(heads).drop("is_system")
+    known = placed.select("conv_id", "pos", "role", "tokens", "start", "system")
+    step = F.greatest(F.lit(max(1, budget // 8)), F.lit(budget - history) - F.col("system"))
+    is_system = F.expr(f"pos = 0 and role = '{SYSTEM_ROLE}'")
+    cell = lambda at: F.floor(at / F.col("step"))
+    turns = known.where(~is_system).withColumn("step", step)
+    # Even numbers: the turns within a cell. Odd ones: the turn across its end.
+    across = cell(F.col("start") + F.col("tokens") - 1) > cell(F.col("start"))
+    targets = turns.withColumn("window", 2 * cell(F.col("start")) + across.cast("int"))
+    room = F.greatest(F.lit(0), F.lit(budget) - F.first("system") - F.sum("tokens"))
+    spans = targets.groupBy(F.col("conv_id").alias("w_conv"), F.col("window").alias("w_window")).agg(
+        F.min("start").alias("w_start"), F.least(F.lit(history), room).alias("reach"))
+    shown = targets.select("conv_id", "pos", "window", F.lit("target").alias("part"))
+    if history:
+        first, last = cell(F.col("start") + 1), cell(F.col("start") + history)
+        reached = turns.select(
+            "conv_id", "pos", "start", F.explode(F.sequence(2 * first, 2 * last + 1)).alias("window"))
+        near = "conv_id <=> w_conv and window = w_window and start < w_start and start >= w_start - reach"
+        shown = shown.unionByName(reached.join(spans, F.expr(near)).select(
+            "conv_id", "pos", "window", F.lit("history").alias("part")))
+    begins = spans.groupBy(F.col("w_conv").alias("b_conv")).agg(F.min("w_window").alias("begin"))
+    every = spans.join(begins, F.expr("w_conv <=> b_conv")).select("w_conv", "w_window", "begin")
+    own = F.when(F.col("w_window") > F.col("begin"), "system").otherwise("target")
+    heads = known.where(is_system).join(every, F.expr("conv_id <=> w_conv"), "left").select(
+        "conv_id", "pos", F.coalesce("w_window", F.lit(0)).alias("window"), own.alias("part"))
+    return shown.unionByName(heads)
 
 
 FORMATTED = (
@@ -172,9 +190,10 @@ def format_windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY
     repeats (system and history); ``loss``: (start, end) of the assistant texts that
     count, in code points. Extra columns of ``rows`` are ignored.
     """
-    shown = windows(positions(rows), budget, history).select(
-        "conv_id", "window", "part", "role", "text", "pos"
-    )
+    placed = materialise(positions(rows), "chat-positions")
+    # Windows are chosen on numbers alone; the texts join what was chosen once.
+    texts = placed.select(F.col("conv_id").alias("t_conv"), F.col("pos").alias("t_pos"), "role", "text")
+    shown = windows(placed, budget, history).join(texts, F.expr("conv_id <=> t_conv and pos = t_pos"))
     return (
         shown.repartition("conv_id", "window")
         .sortWithinPartitions("conv_id", "window", "pos")

@@ -178,24 +178,28 @@ def mix(
     Every row is kept, with its decision. A document without tokens has its cell's
     probability, and 0 where no document of the cell has tokens. Rows with equal ids
     share one draw; rows without an id are drawn by ``_text_hash``, if there is one.
+    Columns of ``docs`` called like the three results, or ``_text_hash``, are left out;
+    all others pass as they are.
     """
     number = draw(seed, id_col)
     if "_text_hash" in docs.columns:
         number = F.when(F.col(id_col).isNull(), draw(seed, id_col, "_text_hash")).otherwise(number)
     own = ("probability", "ratio", "selected", "_text_hash")
-    keyed = docs.withColumns({f"_cell_{d}": _category(d) for d in dimensions})
+    # In a struct, so that no column of the documents can clash with those of the join.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in own]).alias("row")
+    keyed = docs.select(
+        row, number.alias("number"), *[_category(d).alias(f"cell_{d}") for d in dimensions])
     side = cells.select(
-        *[F.col(d).alias(f"_at_{d}") for d in dimensions],
-        F.col("ratio").alias("_ratio"), F.col("probability").alias("_probability"),
+        *[F.col(d).alias(f"at_{d}") for d in dimensions],
+        F.col("ratio").alias("ratio"), F.col("probability").alias("probability"),
     )
-    on = [F.col(f"_cell_{d}") == F.col(f"_at_{d}") for d in dimensions]
-    joined = keyed.join(side, on, "left")
-    probability = F.coalesce("_probability", F.lit(0.0))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in own],
+    on = [F.col(f"cell_{d}") == F.col(f"at_{d}") for d in dimensions]
+    probability = F.coalesce("probability", F.lit(0.0))
+    return keyed.join(side, on, "left").select(
+        "row.*",
         probability.alias("probability"),
-        F.coalesce("_ratio", F.lit(0.0)).alias("ratio"),
-        (number < probability).alias("selected"),
+        F.coalesce("ratio", F.lit(0.0)).alias("ratio"),
+        (F.col("number") < probability).alias("selected"),
     )
 
 

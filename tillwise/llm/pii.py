@@ -199,21 +199,27 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: s
     """``docs`` with personal values in ``text_col`` replaced, and their number in ``count_col``.
 
     Null and empty texts stay as they are with count 0; text outside validated values
-    is untouched. Rows without a candidate do no more than one search. A column
-    already called ``count_col`` is replaced.
+    is untouched. Rows without a candidate do no more than one search. Other columns
+    pass as they are, whatever they are called; one already called ``count_col`` is
+    replaced.
     """
-    text = F.col(f"`{text_col}`")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    text = F.col("row").getField(text_col)
     found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     changed = F.transform(found, lambda m: F.struct(
         m.alias("old"), pseudonym(key, m).alias("new")))
     some = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    staged = docs.withColumn("_pii", F.when(some, changed))
+    staged = docs.select(row).withColumn("pii", F.when(some, changed))
     gaps = F.split(text, PATTERN, -1)
-    put = F.array_join(F.zip_with(gaps, F.col("_pii"), lambda gap, m: F.concat(
+    put = F.array_join(F.zip_with(gaps, F.col("pii"), lambda gap, m: F.concat(
         gap, F.coalesce(m["new"], m["old"], F.lit("")))), "")
-    count = F.size(F.filter("_pii", lambda m: m["new"].isNotNull()))
-    hit = F.col("_pii").isNotNull()
-    return staged.withColumns({
+    count = F.size(F.filter("pii", lambda m: m["new"].isNotNull()))
+    hit = F.col("pii").isNotNull()
+    made = {
         text_col: F.when(hit, put).otherwise(text),
         count_col: F.when(hit, count).otherwise(0),
-    }).drop("_pii")
+    }
+    names = [*docs.columns, *([] if count_col in docs.columns else [count_col])]
+    return staged.select(*[
+        made.get(c, F.col("row").getField(c)).alias(c) for c in names
+    ])

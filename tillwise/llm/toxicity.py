@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.llm.memory import returning_memory
 from tillwise.workspace import materialise
 
 TRAIN_DOCS = 1600
@@ -330,6 +331,7 @@ class Tagger:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
+@returning_memory
 def _fit_rows(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
     rows.sort(key=lambda r: (r[0] is None, r[0], r[1]))
@@ -413,6 +415,7 @@ def score(
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep)
     schema += ", score double, predicted int, spans array<struct<start:int,end:int,p:double>>"
 
+    @returning_memory
     def run(batches):
         tagger = Tagger(shared.value)
         for batch in batches:
