@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from tillwise.operators import collaborative as cf
+from tillwise.operators import factors
 
 K_NEAR = 5
 
@@ -63,31 +64,76 @@ def lists(df):
     return got
 
 
-@pytest.mark.parametrize("max_raters, block", [(1000, 2000), (30, 2000), (30, 17), (12, 25), (1, 9)])
-def test_neighbors_match_dense_cosine(centred, monkeypatch, max_raters, block):
-    """Pairing through products, block scans, and any mix of both agree."""
-    monkeypatch.setattr(cf, "BLOCK_USERS", block)
-    monkeypatch.setattr(cf, "_PRODUCTS_PER_STEP", 7)
+@pytest.mark.parametrize("segment, work", [(4096, 500_000), (30, 4000), (12, 900), (5, 900), (1, 50)])
+def test_neighbors_match_dense_cosine(centred, segment, work):
+    """Lists read whole, in part, or one rater at a time give the same neighbours."""
     users, _, _, sim = dense(ratings_rows())
     want = {u: v for u, v in near_lists(users, sim, K_NEAR).items() if v}
-    found = cf.neighbors(cf.unit_ratings(centred), K_NEAR, max_raters)
+    found = cf.neighbors(cf.unit_ratings(centred), K_NEAR, segment, work)
     assert lists(found) == want
     for r in found.collect():
         assert r.sim == pytest.approx(sim[users.index(r.user_id), users.index(r.neighbor_id)])
 
 
-def test_popular_products_are_not_joined(centred, monkeypatch):
-    """The pair list may only come from products within the limit."""
-    seen = []
-    original = cf._shared_product_pairs
+def test_neighbors_of_some_users(spark, centred):
+    unit = cf.unit_ratings(centred)
+    users = spark.createDataFrame([(3,), (3,), (40,), (999,)], "user_id long")
+    every = lists(cf.neighbors(unit, K_NEAR))
+    for segment in (4096, 6):
+        some = lists(cf.neighbors(unit, K_NEAR, segment, users=users))
+        assert some == {u: every[u] for u in (3, 40)}
 
-    def spy(unit):
-        seen.append(unit.groupBy("product_id").count().agg({"count": "max"}).first()[0])
-        return original(unit)
 
-    monkeypatch.setattr(cf, "_shared_product_pairs", spy)
-    cf.neighbors(cf.unit_ratings(centred), K_NEAR, 30).count()
-    assert seen and max(seen) <= 30
+def twins_rows():
+    """Popular products rated by all; most users fall into a few equal vectors."""
+    rows = []
+    for u in range(90):
+        taste = [(5, 1, 3), (1, 5, 3), (5, 5, 1), (2, 4, 3)][u % 4]
+        rows += [(u, p, r) for p, r in enumerate(taste)]
+        if u % 9 == 0:
+            rows += [(u, 10 + u % 7, 5), (u, 20 + u % 5, 1)]
+    return rows
+
+
+@pytest.mark.parametrize("segment", [4096, 8, 1])
+def test_equal_vectors_are_one_profile(spark, segment):
+    df = spark.createDataFrame(twins_rows(), "user_id long, product_id long, rating int")
+    users, _, _, sim = dense(twins_rows())
+    want = {u: v for u, v in near_lists(users, sim, K_NEAR).items() if v}
+    assert lists(cf.neighbors(cf.unit_ratings(cf.centred_ratings(df)), K_NEAR, segment)) == want
+
+
+def test_long_lists_are_not_read_to_the_end(spark, monkeypatch):
+    """Raters of a popular product whose residual cannot reach the limit are not proposed."""
+    rng = np.random.default_rng(2)
+    rows = [(u, 0, int(rng.integers(1, 6))) for u in range(400)]
+    for u in range(400):
+        # Friends share four rare products with like ratings, so limits are high.
+        rows += [(u, 1 + 4 * (u // 8) + j, 5 if (u // 8 + j) % 2 else 1) for j in range(4)]
+    df = cf.centred_ratings(spark.createDataFrame(rows, "user_id long, product_id long, rating int"))
+    read = []
+    keep = cf._searched
+
+    def spy(asked, profiles, segments, k):
+        found = keep(asked, profiles, segments, k)
+        read.append(segments.where("not first").count())
+        return found
+
+    monkeypatch.setattr(cf, "_searched", spy)
+    proposed = []
+    original = cf.materialise
+
+    def count(frame, label):
+        made = original(frame, label)
+        if label == "cf-found":
+            proposed.append(made.where("least is not null and other is not null").count())
+        return made
+
+    monkeypatch.setattr(cf, "materialise", count)
+    users, _, _, sim = dense(rows)
+    want = {u: v for u, v in near_lists(users, sim, 4).items() if v}
+    assert lists(cf.neighbors(cf.unit_ratings(df), 4, 16)) == want
+    assert read[0] >= 10 and proposed[0] < 400 * 400 / 8
 
 
 @pytest.mark.parametrize("k", [3, 39, 60])
@@ -144,3 +190,72 @@ def test_requested_users_alone_have_the_same_lists(spark, centred, pad):
     every = cf.for_users(cf.recommend(near, centred, 4, pad), users)
     some = cf.recommend(near, centred, 4, pad, users)
     assert sorted(map(tuple, some.collect())) == sorted(map(tuple, every.collect()))
+
+
+def brute_products(users, items, rated, k):
+    out = []
+    for u, x in users:
+        scored = [(-round(float(np.dot(np.float32(x).astype(float), np.float32(y).astype(float))), 9), i)
+                  for i, y in items if (u, i) not in rated]
+        out += [(u, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("item_block, user_block", [(4096, 2048), (16, 7), (5, 100), (1, 3)])
+def test_factor_lists_equal_brute_force(spark, item_block, user_block):
+    """Blocks in order of length, rated items left out, ties, null vectors and short lists."""
+    rng = np.random.default_rng(4)
+    users = [(u, rng.normal(size=3).round(2).tolist()) for u in range(30)] + [(50, [0.0, 0.0, 0.0])]
+    items = [(i, (rng.normal(size=3) * rng.pareto(1.5)).round(1).tolist()) for i in range(70)]
+    items += [(200 + i, items[i][1]) for i in range(5)]
+    rated = {(u, int(i)) for u, _ in users for i in rng.choice(70, 20)} | {(7, i) for i, _ in items[3:]}
+    factor = "id int, features array<float>"
+    lists = factors.factor_recommendations(
+        spark.createDataFrame(users, factor), spark.createDataFrame(items, factor).repartition(3),
+        spark.createDataFrame([*rated, (999, 1), (1, 999), next(iter(rated))], "user_id long, product_id long"),
+        6, item_block, user_block,
+    )
+    got = sorted((r.user_id, r.rank, r.product_id, round(r.score, 9) + 0.0) for r in lists.collect())
+    want = brute_products(users, items, rated, 6)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want])
+
+
+def test_users_stop_at_the_blocks_that_matter(spark, monkeypatch):
+    """With falling lengths, no user is compared with the short items."""
+    compared = []
+    original = factors.materialise
+
+    def spy(frame, label):
+        made = original(frame, label)
+        if label == "als-open":
+            compared.append(made.count())
+        return made
+
+    monkeypatch.setattr(factors, "materialise", spy)
+    items = [(i, [100.0 / (1 + i) ** 2, 0.0]) for i in range(200)]
+    users = [(u, [1.0 + u, 0.0]) for u in range(40)]
+    factor, none = "id int, features array<float>", "user_id long, product_id long"
+    lists = factors.factor_recommendations(
+        spark.createDataFrame(users, factor), spark.createDataFrame(items, factor),
+        spark.createDataFrame([], none), 5, 10, 16)
+    assert lists.count() == 200 and compared == [0]
+    none_left = factors.factor_recommendations(
+        spark.createDataFrame(users, factor), spark.createDataFrame([], factor), spark.createDataFrame([], none))
+    assert none_left.count() == 0
+
+
+def test_fold_in_solves_the_least_squares(spark):
+    rng = np.random.default_rng(9)
+    items = [(i, rng.normal(size=3).tolist()) for i in range(20)]
+    rows = [(u, int(i), float(rng.integers(1, 6))) for u in (1, 2) for i in rng.choice(20, 8, replace=False)]
+    rows += [(1, 999, 5.0), (3, 999, 5.0)]
+    got = {r.id: r.features for r in factors.fold_in(
+        spark.createDataFrame(items, "id int, features array<float>"),
+        spark.createDataFrame(rows, "user_id long, product_id long, rating double"), 0.1).collect()}
+    assert sorted(got) == [1, 2]
+    for u in got:
+        mine = [(i, r) for v, i, r in rows if v == u and i < 20]
+        v = np.array([np.float32(items[i][1]) for i, _ in mine], float)
+        want = np.linalg.solve(v.T @ v + 0.1 * len(mine) * np.eye(3), v.T @ np.array([r for _, r in mine]))
+        assert got[u] == pytest.approx(want, abs=1e-5)

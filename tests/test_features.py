@@ -1,5 +1,7 @@
+import numpy as np
 import pytest
 
+from tillwise.functions import running
 from tillwise.operators import features
 
 
@@ -71,3 +73,54 @@ def test_feature_matrix_and_existing_columns(make_tx):
     assert features.existing_columns(tx, ["amount", "missing", "user_id"]).columns == [
         "amount", "user_id"
     ]
+
+
+def asof_limits(rows):
+    """Brute force: numpy's quantile of every user's earlier amounts."""
+    seen, out = {}, []
+    for txn, user, amount in rows:
+        past = seen.setdefault(user, [])
+        out.append((txn, round(float(np.quantile(past, 0.95)), 9) if past else None))
+        if amount is not None:
+            past.append(amount)
+    return out
+
+
+@pytest.mark.parametrize("hot_rows, range_rows", [(10_000, 500), (0, 60), (100, 37), (100, 10_000)])
+def test_asof_limit_equals_brute_force(make_tx, monkeypatch, hot_rows, range_rows):
+    """Ordinary users, users above the hot limit, ties, gaps, a drift and a heavy value."""
+    monkeypatch.setattr(running, "BATCH_ROWS", 90)
+    rng = np.random.default_rng(3)
+    rows = [(1, float(v), 1, 1, i // 3) for i, v in enumerate(np.arange(700) + rng.normal(0, 40, 700))]
+    rows += [(2, float(rng.choice([5.0, 5.0, 5.0, 9.0, 100.0])), 1, 1, i) for i in range(400)]
+    rows += [(3 + i % 9, float(rng.integers(0, 20)), 1, 1, i) for i in range(200)]
+    rows += [(None, None if i % 4 == 0 else float(i % 50), 1, 1, i) for i in range(150)]
+    rows += [(20, None, 1, 1, 0), (20, None, 1, 1, 1), (20, 3.0, 1, 1, 2), (20, 4.0, 1, 1, 3)]
+    tx = make_tx(rows).repartition(6)
+    out = features.high_spend_asof(tx, hot_rows=hot_rows, range_rows=range_rows)
+    got = sorted((r.txn_id, None if r.spend_limit_asof is None else round(r.spend_limit_asof, 9), r.high_spend_asof)
+                 for r in out.collect())
+    ordered = sorted((r.user_id is not None, r.user_id or 0, r.timestamp, r.txn_id, r.amount) for r in tx.collect())
+    want = dict(asof_limits([(o[3], o[:2], o[4]) for o in ordered]))
+    amounts = {o[3]: o[4] for o in ordered}
+    assert [(t, limit) for t, limit, _ in got] == sorted(want.items())
+    for txn, limit, flag in got:
+        above = limit is not None and amounts[txn] is not None and round(amounts[txn], 6) > round(limit, 6)
+        assert flag == int(above)
+
+
+def test_asof_of_nothing(make_tx):
+    assert features.high_spend_asof(make_tx([])).count() == 0
+
+
+def test_kth_smallest_descends_over_given_counts():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 5, 64):
+        ranks, base = rng.integers(0, size, 50), rng.integers(0, 4, size)
+        high = np.arange(51)
+        for k in range(0, 40, 7):
+            ask = high[high + base.sum() > k]
+            found, left = running.kth_smallest(ranks, 0 * ask, ask, 0 * ask + k, base)
+            for h, f, rest in zip(ask, found, left):
+                whole = sorted(np.concatenate([np.repeat(np.arange(size), base), ranks[:h]]))
+                assert whole[k] == f and whole.index(f) + rest == k

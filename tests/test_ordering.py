@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillwise.functions import ordering
+from tillwise.functions import ordering, scan
 from tillwise.functions.skew import hot_groups
 
 
@@ -90,3 +90,28 @@ def test_hot_groups_are_few(spark):
     assert hot_groups(df, ["k"], hot_rows=5000) is None
     # The limit is the same whatever else there is; only the join's hint depends on the keys.
     assert hot_groups(df, ["k"], hot_rows=0, max_keys=10).count() == 2001
+
+
+def test_rows_of_one_timestamp_are_split(spark, make_tx, monkeypatch):
+    """Ties on the order column are told apart by the id: no range grows with them."""
+    monkeypatch.setattr(scan, "FAN", 3)
+    tx = make_tx([(1, 1.0, 1, 5, 0)] * 230 + [(2, 1.0, 1, 5, 0)] * 45).repartition(5)
+    ranged = scan.in_ranges(tx, ["user_id", "timestamp", "txn_id"], 10)
+    assert ranged.groupBy("range").count().agg(F.max("count")).first()[0] <= 30
+    out = ordering.occurrence_index(tx, ["user_id"], ["timestamp"], "txn_id", 10, rows_per_bin=10)
+    got = [r.occurrence for r in out.orderBy("user_id", "txn_id").collect()]
+    assert got == [*range(230), *range(45)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "element_at" not in plan and "array(" not in plan
+
+
+@pytest.mark.parametrize("fan", [2, 7, 1000])
+def test_prefix_sums_of_many_levels(spark, fan):
+    rng = np.random.default_rng(fan)
+    rows = [(g, k, int(rng.integers(0, 9)), float(k)) for g in (None, 1, 2) for k in range(0, 90, 1 if g else 7)]
+    df = spark.createDataFrame(rows, "g long, k int, n long, x double").repartition(4)
+    got = {(r.g, r.k): (r.before_n, r.before_x) for r in scan.prefix_sums(df, "k", ["n", "x"], ["g"], fan).collect()}
+    for g, k, _, _ in rows:
+        earlier = [r for r in rows if r[0] == g and r[1] < k]
+        assert got[g, k] == (sum(r[2] for r in earlier), sum(r[3] for r in earlier))
+    assert scan.prefix_sums(df.limit(0), "k", ["n"], ["g"], fan).count() == 0

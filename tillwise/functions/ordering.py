@@ -1,8 +1,7 @@
-"""Exact order statistics, row positions and running totals without a global sort.
+"""Exact order statistics and row positions without a global sort.
 
-Everything here follows one idea: a bounded sketch (``percentile_approx``) tells
-where to look, and a second pass counts exactly. Bounds found by the sketch are
-used as literals afterwards, so a recomputed task sees the same ranges.
+Quantiles follow one idea: a bounded sketch (``percentile_approx``) tells where to look,
+and a second pass counts exactly. Row positions come from ranges and a prefix scan.
 """
 
 from __future__ import annotations
@@ -16,12 +15,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwise.functions.scan import RANGE_ROWS, in_ranges, prefix_sums
 from tillwise.functions.skew import hot_groups, join_on_group, split_hot
 
 SKETCH_ACCURACY = 10_000
 SLICE_ROWS = 100_000
-ROWS_PER_BIN = 500_000
-MAX_BINS = 20_000
 
 
 def interpolate(lower: float, upper: float, fraction: float) -> float:
@@ -320,7 +318,7 @@ def group_quantile(window: DataFrame, by: Sequence[str], prob: float, name: str)
     return window.select(*by, (lower + (upper - lower) * fraction).alias(name))
 
 
-# --- value ranges, row positions, running totals --------------------------------
+# --- value ranges and row positions ------------------------------------------------
 
 
 def range_bounds(df: DataFrame, column: str, n_bins: int) -> list[float]:
@@ -349,32 +347,25 @@ def with_range_bin(df: DataFrame, column: str, bounds: Sequence[float], out: str
     )
 
 
-def bins_for(rows: int, rows_per_bin: int = ROWS_PER_BIN) -> int:
-    return max(1, min(MAX_BINS, math.ceil(rows / rows_per_bin)))
-
-
 def global_row_index(
-    df: DataFrame, key: str, rows_per_bin: int = ROWS_PER_BIN, out: str = "row_index"
+    df: DataFrame, key: str, rows_per_bin: int = RANGE_ROWS, out: str = "row_index"
 ) -> tuple[DataFrame, int]:
-    """Zero-based position of every row in the order of a unique numeric key.
+    """Zero-based position of every row in the order of a unique key, and the row count.
 
-    Returns the frame and its row count. Rows are split into value ranges, each
-    range is numbered on its own, and the ranges' offsets (one number per range)
-    are added as a literal array.
+    Rows are written in ranges of the key, each range is numbered on its own, and the
+    rows of earlier ranges are added by a prefix scan over the ranges' sizes.
     """
-    total = df.agg(F.count(key)).first()[0]
-    bounds = range_bounds(df, key, bins_for(total, rows_per_bin))
-    ranged = with_range_bin(df, key, bounds, "range_bin")
-    offsets = [0] * (len(bounds) + 1)
-    if bounds:
-        sizes = dict(ranged.groupBy("range_bin").count().collect())
-        running = 0
-        for b in range(len(offsets)):
-            offsets[b] = running
-            running += sizes.get(b, 0)
-    start = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("range_bin") + 1)
+    placed = in_ranges(df, [key], rows_per_bin, "range_bin")
+    starts = prefix_sums(
+        placed.groupBy("range_bin").agg(F.count(F.lit(1)).alias("n")), "range_bin", ["n"]
+    )
     within = F.row_number().over(Window.partitionBy("range_bin").orderBy(key))
-    return ranged.withColumn(out, start + within - 1).drop("range_bin"), total
+    indexed = (
+        placed.withColumn("within", within)
+        .join(starts.select("range_bin", "before_n"), "range_bin")
+        .withColumn(out, F.col("before_n") + F.col("within") - 1)
+    )
+    return indexed.select(*df.columns, out), starts.agg(F.sum("n")).first()[0] or 0
 
 
 def occurrence_index(
@@ -383,13 +374,14 @@ def occurrence_index(
     order: Sequence[str],
     id_column: str,
     hot_rows: int,
-    rows_per_bin: int = ROWS_PER_BIN,
+    rows_per_bin: int = RANGE_ROWS,
     out: str = "occurrence",
 ) -> DataFrame:
     """Zero-based running count of each row within its group.
 
-    Hot groups are cut into value ranges of the first order column, numbered per
-    range, and shifted by the rows in earlier ranges of the same group.
+    Hot groups are cut into ranges of the order columns and the unique id, so rows with
+    one order value are split as well. Ranges are numbered on their own and shifted by
+    the rows in earlier ranges of the same group, from a prefix scan over the sizes.
     """
     hot = hot_groups(df, by, hot_rows)
     cold, hot_part = split_hot(df, by, hot)
@@ -397,26 +389,15 @@ def occurrence_index(
     result = cold.withColumn(out, numbered)
     if hot_part is None:
         return result
-    lead = order[0]
-    if dict(df.dtypes)[lead].startswith("timestamp"):
-        sort_value = F.unix_micros(F.col(lead).cast("timestamp"))
-    else:
-        sort_value = F.col(lead)
-    valued = hot_part.withColumn("order_value", sort_value)
-    rows = valued.count()
-    bounds = range_bounds(valued, "order_value", max(2, bins_for(rows, rows_per_bin)))
-    ranged = with_range_bin(valued, "order_value", bounds, "range_bin")
-    sizes = ranged.groupBy(*by, "range_bin").agg(F.count(F.lit(1)).alias("c"))
-    earlier = Window.partitionBy(*by).orderBy("range_bin").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *by, "range_bin", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("start")
-    )
+    ranged = in_ranges(hot_part, [*by, *order, id_column], rows_per_bin, "range_bin")
+    sizes = ranged.groupBy(*by, "range_bin").agg(F.count(F.lit(1)).alias("n"))
+    starts = prefix_sums(sizes, "range_bin", ["n"], by).select(*by, "range_bin", "before_n")
     within = F.row_number().over(
         Window.partitionBy(*by, "range_bin").orderBy(*order, id_column)
     )
     shifted = (
         ranged.withColumn("within", within)
         .transform(lambda d: join_on_group(d, starts, [*by, "range_bin"], "inner"))
-        .withColumn(out, F.col("start") + F.col("within") - 1)
+        .withColumn(out, F.col("before_n") + F.col("within") - 1)
     )
     return result.unionByName(shifted.select(*result.columns))

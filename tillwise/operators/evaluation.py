@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.functions.ordering import ROWS_PER_BIN, bins_for, range_bounds, with_range_bin
+from tillwise.functions.scan import RANGE_ROWS, in_ranges, prefix_sums
 from tillwise.workspace import materialise
 
 
@@ -93,23 +93,20 @@ def classification_report(df: DataFrame, label: str, prediction: str) -> DataFra
 
 
 def roc_auc(
-    df: DataFrame, score: str, label: str, rows_per_bin: int = ROWS_PER_BIN
+    df: DataFrame, score: str, label: str, rows_per_bin: int = RANGE_ROWS
 ) -> DataFrame:
     """Exact rank AUC of a 0/1 label, equal scores counting half.
 
-    Rows are first reduced to counts per distinct score. Score ranges are then
-    ranked side by side, and one row per range remains for the final sum.
+    Rows are first reduced to counts per distinct score. Score ranges are then ranked
+    side by side; what lies below a range comes from a prefix scan over the ranges.
     """
     per_score = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         # Doubles: the products below exceed a long on very large inputs.
         F.count_if(F.col(label) == 1).cast("double").alias("pos"),
         F.count_if(F.col(label) == 0).cast("double").alias("neg"),
     )
-    # Read up to three times below, and much smaller than the rows.
-    per_score = materialise(per_score, "score-counts")
-    n_bins = bins_for(per_score.count(), rows_per_bin)
-    bounds = range_bounds(per_score, "score", n_bins)
-    ranged = with_range_bin(per_score, "score", bounds, "range_bin")
+    # Read several times below, and much smaller than the rows.
+    ranged = in_ranges(materialise(per_score, "score-counts"), ["score"], rows_per_bin, "range_bin")
     lower = (
         Window.partitionBy("range_bin").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -119,28 +116,10 @@ def roc_auc(
         .groupBy("range_bin")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("wins").alias("wins"))
     )
-    # One row per range, at most MAX_BINS of them.
-    ordered = F.sort_array(F.collect_list(F.struct("range_bin", "pos", "neg", "wins")))
-    start = F.struct(
-        *[F.lit(0.0).alias(c) for c in ("pos", "neg", "wins")],
-    )
-
-    def add(acc: Column, b: Column) -> Column:
-        return F.struct(
-            (acc["pos"] + b["pos"]).alias("pos"),
-            (acc["neg"] + b["neg"]).alias("neg"),
-            (acc["wins"] + b["wins"] + b["pos"] * acc["neg"]).alias("wins"),
-        )
-
-    total = F.aggregate(
-        ordered,
-        start,
-        add,
-        lambda acc: F.when(
-            (acc["pos"] > 0) & (acc["neg"] > 0), acc["wins"] / (acc["pos"] * acc["neg"])
-        ),
-    )
-    return per_bin.agg(total.alias("roc_auc"))
+    below = prefix_sums(materialise(per_bin, "score-ranges"), "range_bin", ["neg"])
+    total = F.sum(F.col("wins") + F.col("pos") * F.col("before_neg"))
+    both = F.sum("pos") * F.sum("neg")
+    return below.agg(F.when(both > 0, total / both).alias("roc_auc"))
 
 
 FINDING_HIGHER = "full model ranks fraud better than the amount-only baseline"

