@@ -198,6 +198,17 @@ def test_alignment_equals_brute_force(spark, rows, monkeypatch, chunk, fan, link
     assert sorted(map(tuple, got.pairs.collect())) == pairs
 
 
+def test_ranks_give_the_ids_of_the_tokenizer():
+    sides = alignment.Sides(BYTE_LEVEL, PIECES)
+    rng = random.Random(11)
+    letters = "aAbz'\x00\x1c\x85\xa0 \t\n\r.,;<|>09²½ªßéÿĀŐɏ\u0300"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["<|endoftext|> 's 'S don't  we'll\n\n x\t y ", "ab" * 5000, " " * 900 + "x"]
+    texts += ["日本 ＡＢ٣ " + t for t in texts[:200]]
+    whole = [e.ids for e in sides.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert sides.quick is not None and sides._first(texts) == whole
+
+
 def test_large_groups_go_by_counts(monkeypatch):
     rng = np.random.default_rng(2)
     ids_a, ids_b = rng.integers(0, 9, 400), rng.integers(0, 7, 300)
