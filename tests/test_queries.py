@@ -11,7 +11,7 @@ QUERIES, SQL = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = {
     "cf_als", "whatif_score", "fraud_score", "fraud_report", "fraud_baseline_comparison",
     "churn_score", "anomaly_score", "findings_table", "stream_event_score", "stream_batch_scores",
-    "churn_report", "model_threshold_counts",
+    "churn_report", "model_threshold_counts", "model_alert_counts",
 }
 
 

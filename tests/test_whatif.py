@@ -3,10 +3,12 @@ from datetime import timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sample_data import START
 from tillwise.operators import whatif
 from tillwise.sources import feeds
+from tillwise.workspace import fresh_path
 
 
 def direct(history, scenario):
@@ -32,8 +34,8 @@ def direct(history, scenario):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [None, 10])
-def test_summaries_equal_copied_histories(spark, make_tx, hot_rows):
+@pytest.mark.parametrize("kind", ["history", "summary", "merged"])
+def test_summaries_equal_copied_histories(spark, make_tx, kind):
     rng = np.random.default_rng(8)
     history = []
     for user, n in ((1, 1), (2, 2), (3, 3), (4, 7), (5, 21), (6, 60), (7, 4)):
@@ -47,7 +49,16 @@ def test_summaries_equal_copied_histories(spark, make_tx, hot_rows):
             for location in (1, 2, 9):
                 scenarios.append((len(scenarios), user, amount, location, int(rng.integers(0, 6))))
     df = spark.createDataFrame(scenarios, feeds.SCENARIOS)
-    out = whatif.whatif_features(df, make_tx(history).repartition(4), hot_rows).collect()
+    tx = make_tx(history).repartition(4)
+    known = tx
+    if kind == "summary":
+        known = whatif.OrderSummary.of(tx).write(fresh_path(spark, "summary"))
+    elif kind == "merged":
+        # Rows arrive in three parts, each merged into what was written before.
+        first = whatif.OrderSummary.of(tx.where("txn_id % 3 = 0")).write(fresh_path(spark, "summary"))
+        second = first.merge(tx.where("txn_id % 3 = 1")).write(fresh_path(spark, "summary"))
+        known = second.merge(tx.where("txn_id % 3 = 2"))
+    out = whatif.whatif_features(df, known).collect()
     got = {
         r.scenario_id: (
             round(r.amount, 9), r.location_id, r.unusual_location, r.high_spend, r.new_device
@@ -66,9 +77,24 @@ def test_null_amount_is_no_high_spend(spark, make_tx):
     assert (row.amount, row.high_spend) == (None, 0)
 
 
-def test_other_users_are_left_out_before_the_ranking(spark, make_tx):
+def test_scenarios_read_the_summary_alone(spark, make_tx):
+    """No window and no scan of the history; other users' parts are left out first."""
     df = spark.createDataFrame([(1, 1, 2.0, 1, 1)], feeds.SCENARIOS)
-    made = whatif.whatif_features(df, make_tx([(1, 5.0, 1, 1), (2, 5.0, 1, 1)]), hot_rows=None)
+    tx = make_tx([(1, 5.0, 1, 1), (2, 5.0, 1, 1)])
+    path = fresh_path(spark, "summary")
+    made = whatif.whatif_features(df, whatif.OrderSummary.of(tx).write(path))
     plan = made._jdf.queryExecution().optimizedPlan().toString()
-    histories = plan.count("LogicalRDD [txn_id")
-    assert "Window" in plan and plan.count("LeftSemi") == histories > 0
+    assert "txn_id" not in plan and plan.count("LeftSemi") >= 4
+    # Over the counts of blocks, which hold no row of the history.
+    assert plan.count("Window [") <= 2
+    built = whatif.OrderSummary.of(tx).amounts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in built
+
+
+def test_blocks_follow_the_amounts(spark):
+    rng = np.random.default_rng(3)
+    values = sorted({0.0, *(2.0**k for k in range(-20, 40)), *np.nextafter(2.0 ** np.arange(-20, 40), 0),
+                     *rng.lognormal(3, 4, 500)})
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    blocks = [r[0] for r in df.orderBy("v").select(whatif._block(F.col("v"))).collect()]
+    assert blocks == sorted(blocks) and len(set(blocks)) > 400

@@ -229,10 +229,13 @@ def anomaly_summary(
     flag: str = "isolation_forest_outlier",
     label: str = "is_fraud",
     top: int = 100,
+    forest: Forest | None = None,
 ) -> DataFrame:
     """Rows, flagged rows, mean and population deviation, label share of the top rows.
 
-    The label share is null with fewer than ``top`` rows or without a label.
+    The label share is null with fewer than ``top`` rows or without a label. With
+    ``forest`` its settings are in the row too: n_estimators, contamination, n_features
+    and feature_cols, the features joined by commas.
     """
     summary = scored.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -245,4 +248,12 @@ def anomaly_summary(
         best = scored.orderBy(F.desc(score), "txn_id").limit(top)
         share = best.agg(F.avg(label).alias("share"))
         overlap = F.when(F.col("n_rows") >= top, share.scalar())
-    return summary.withColumn("top_100_overlap_with_labeled_fraud", overlap)
+    summary = summary.withColumn("top_100_overlap_with_labeled_fraud", overlap)
+    if forest is None:
+        return summary
+    return summary.withColumns({
+        "n_estimators": F.lit(forest.n_trees),
+        "contamination": F.lit(float(forest.contamination)),
+        "n_features": F.lit(len(forest.features)),
+        "feature_cols": F.lit(",".join(forest.features)),
+    })

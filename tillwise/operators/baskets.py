@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,6 @@ from tillwise.workspace import materialise
 SUPPORT_FULL = 0.006
 SUPPORT_QUICK = 0.012
 CONFIDENCE = 0.25
-# Masks over an itemset are enumerated as two halves of at most this many bits.
-_MASK_BITS = 12
 
 
 def basket_items(lines: DataFrame) -> DataFrame:
@@ -173,43 +172,50 @@ def frequent_itemsets(support: BasketSupport) -> DataFrame:
     return materialise(itemsets, "itemsets")
 
 
+def _held(rules: DataFrame, ante: DataFrame, min_confidence: float, label: str) -> DataFrame:
+    """``rules`` (items, freq, ones, cons: positions of the consequent) that reach the confidence."""
+    parted = rules.withColumn(
+        "antecedents", F.filter("items", lambda _, i: ~F.array_contains("cons", i))
+    )
+    kept = parted.join(ante, "antecedents").where(F.col("freq") / F.col("n_ante") >= min_confidence)
+    return materialise(kept, label)
+
+
 def association_rules(
     itemsets: DataFrame, n_baskets: int, min_confidence: float = CONFIDENCE
 ) -> DataFrame:
     """Every split of every frequent itemset into antecedent and consequent.
 
-    Includes consequents of several items. The antecedent and consequent of a
-    frequent set are frequent themselves, so both counts come from the same
-    table by equi-joins on the sorted item arrays.
+    Includes consequents of several items, found level by level: a consequent that grows
+    makes the antecedent smaller and more frequent, so the confidence can only fall, and
+    a consequent is extended only while it holds, by items that hold on their own. The
+    antecedent and consequent of a frequent set are frequent themselves, so both counts
+    come from the same table by equi-joins on the sorted item arrays.
     """
     total = F.lit(float(n_baskets))
-    size = F.size("items")
-    low_bits = F.least(size, F.lit(_MASK_BITS))
-    high_bits = size - low_bits
-
-    def masks(bits: Column) -> Column:
-        return F.sequence(F.lit(0), F.pow(F.lit(2), bits).cast("int") - 1)
-
-    masked = (
-        itemsets.where(size >= 2)
-        .withColumn("low", F.explode(masks(low_bits)))
-        .withColumn("high", F.explode(masks(high_bits)))
-        .withColumn("mask", F.col("low") + F.col("high").cast("long") * 2**_MASK_BITS)
-    )
-
-    def chosen(position: Column) -> Column:
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), position)
-        return F.col("mask").bitwiseAND(bit) != 0
-
-    split = masked.select(
-        "freq",
-        F.filter("items", lambda _, i: chosen(i)).alias("antecedents"),
-        F.filter("items", lambda _, i: ~chosen(i)).alias("consequents"),
-    ).where((F.size("antecedents") > 0) & (F.size("consequents") > 0))
     ante = itemsets.select(F.col("items").alias("antecedents"), F.col("freq").alias("n_ante"))
     cons = itemsets.select(F.col("items").alias("consequents"), F.col("freq").alias("n_cons"))
+    place = F.explode(F.sequence(F.lit(0), F.size("items") - 1))
+    single = itemsets.where(F.size("items") >= 2).select("items", "freq", place.alias("at"))
+    level = _held(single.withColumn("cons", F.array("at")), ante, min_confidence, "rules-1")
+    ones = level.groupBy("items").agg(F.collect_list("at").alias("ones"))
+    level = level.drop("at").join(ones, "items")
+    columns = ["items", "freq", "n_ante", "antecedents", "cons"]
+    levels = [level.select(*columns)]
+    while not level.isEmpty():
+        # The consequent's last position is its largest.
+        more = F.filter("ones", lambda x: x > F.element_at("cons", -1))
+        longer = (
+            level.where(F.size("cons") < F.size("items") - 1)
+            .withColumn("next", F.explode(more))
+            .select("items", "freq", "ones", F.concat("cons", F.array("next")).alias("cons"))
+        )
+        level = _held(longer, ante, min_confidence, f"rules-{len(levels) + 1}")
+        levels.append(level.select(*columns))
+    kept = reduce(DataFrame.unionByName, levels).withColumn(
+        "consequents", F.filter("items", lambda _, i: F.array_contains("cons", i))
+    )
     confidence = F.col("freq") / F.col("n_ante")
-    kept = split.join(ante, "antecedents").where(confidence >= min_confidence)
     support = F.col("freq") / total
     p_ante, p_cons = F.col("n_ante") / total, F.col("n_cons") / total
     return kept.join(cons, "consequents").select(

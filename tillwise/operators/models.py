@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tillwise.operators.cleaning import coerce_numeric
 from tillwise.operators.evaluation import accuracy, classification_report, roc_auc
 from tillwise.operators.features import BASELINE_FEATURES, FEATURES, feature_matrix, filled
+from tillwise.workspace import materialise
 
 FRAUD_SEED = 42
 CHURN_SEED = 7
@@ -79,20 +81,28 @@ class Classifier:
         """Test rows with their score and the 0/1 prediction at one half."""
         return self.score(self.test).withColumn("prediction", (F.col(self.out) > 0.5).cast("int"))
 
+    @cached_property
+    def written(self) -> DataFrame:
+        """Labels, scores and predictions of the test rows, scored and written once."""
+        return materialise(
+            self.predictions().select(self.label, self.out, "prediction"), "predictions"
+        )
+
     def accuracy(self) -> DataFrame:
-        return accuracy(self.predictions(), self.label, "prediction")
+        return accuracy(self.written, self.label, "prediction")
 
     def roc_auc(self) -> DataFrame:
-        return roc_auc(self.predictions(), self.out, self.label)
+        return roc_auc(self.written, self.out, self.label)
 
     def report(self) -> DataFrame:
-        return classification_report(self.predictions(), self.label, "prediction")
+        return classification_report(self.written, self.label, "prediction")
 
     def metrics(self) -> DataFrame:
-        """One row: roc_auc, accuracy."""
-        return self.roc_auc().withColumn(
-            "accuracy", self.accuracy().select("accuracy").scalar()
-        )
+        """One row: roc_auc, accuracy, and n_test, the rows they were taken on."""
+        rows = self.accuracy()
+        return self.roc_auc().withColumns({
+            "accuracy": rows.select("accuracy").scalar(), "n_test": rows.select("n").scalar(),
+        })
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")

@@ -77,12 +77,25 @@ def threshold_counts(df: DataFrame, score: str, thresholds: Sequence[float]) ->
     return counted.select(F.explode(lines).alias("l")).select("l.*")
 
 
+def alert_counts(fraud: DataFrame, fraud_score: str, anomalies: DataFrame, anomaly_score: str) -> DataFrame:
+    """Rows at or above the default alert threshold of each score."""
+    parts = [
+        threshold_counts(df, score, [limit]).withColumn("alert", F.lit(name))
+        for name, df, score, limit in (
+            ("fraud", fraud, fraud_score, FRAUD_THRESHOLD),
+            ("anomaly", anomalies, anomaly_score, ANOMALY_THRESHOLD),
+        )
+    ]
+    return parts[0].unionByName(parts[1]).select("alert", "threshold", "n")
+
+
 def long_metrics(section: str, row: DataFrame) -> DataFrame:
-    """A one-row frame of figures as (section, metric, value) lines."""
+    """A one-row frame of figures as (section, metric, value) lines; texts are left out."""
+    figures = [f.name for f in row.schema if f.dataType.typeName() != "string"]
     lines = F.array(
         *[
             F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-            for c in row.columns
+            for c in figures
         ]
     )
     return row.select(F.lit(section).alias("section"), F.explode(lines).alias("l")).select(
@@ -91,14 +104,17 @@ def long_metrics(section: str, row: DataFrame) -> DataFrame:
 
 
 def lake_counts(transactions: DataFrame, reviews: DataFrame, lines: DataFrame,
-                users: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Rows per feed, and distinct users and products of the rating feed."""
+                users: DataFrame, ratings: DataFrame, itemsets: DataFrame | None = None,
+                rules: DataFrame | None = None) -> DataFrame:
+    """Rows per feed, distinct users and products of the rating feed, and what was mined."""
+    mined = [("frequent_itemsets", itemsets), ("association_rules", rules)]
     parts = [
         ("transactions", transactions),
         ("reviews", reviews),
         ("order_line_items", lines),
         ("user_churn_features", users),
         ("user_product_ratings", ratings),
+        *[(name, frame) for name, frame in mined if frame is not None],
     ]
     out = None
     for name, frame in parts:

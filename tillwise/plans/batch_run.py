@@ -19,11 +19,16 @@ from tillwise.operators import (
     sentiment,
 )
 from tillwise.plans import findings
-from tillwise.sources import feeds, readers, writers
+from tillwise.sources import feeds, offsets, readers, writers
 from tillwise.streaming import transactions as streams
 from tillwise.workspace import materialise
 
 
+# Rows of a streamed batch by mode.
+BATCH_ROWS_FULL = 800
+BATCH_ROWS_QUICK = 400
+
+
 @dataclass(frozen=True)
 class RunOptions:
     mode: str = "full"
@@ -32,11 +37,15 @@ class RunOptions:
     fraud_trees: int = 80
     churn_rounds: int = 100
     n_trees: int = anomaly.N_TREES
+    #: Transactions of a logical batch of the stream.
+    batch_rows: int = BATCH_ROWS_FULL
     stream: bool = True
 
     @staticmethod
     def quick() -> RunOptions:
-        return RunOptions(mode="quick", min_support=baskets.SUPPORT_QUICK)
+        return RunOptions(
+            mode="quick", min_support=baskets.SUPPORT_QUICK, batch_rows=BATCH_ROWS_QUICK
+        )
 
 
 def read_lake(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
@@ -125,18 +134,15 @@ def run(spark: SparkSession, lake: str, out: str, options: RunOptions = RunOptio
     writers.write_json_summary(rollups.user_spend_top(raw), f"{out}/spend_summary")
 
     if options.stream:
-        staged = f"{out}/streaming_source"
-        clean.repartitionByRange(4, "txn_id").write.mode("overwrite").parquet(staged)
-
-        def arriving(files_per_batch: int | None = None) -> DataFrame:
-            return readers.stream_table(spark, staged, feeds.TRANSACTIONS, files_per_batch)
-
         homes = materialise(cleaning.user_home_location(clean), "homes")
+        path = offsets.folder_of(clean)
+        batches = offsets.stream_rows(spark, path, feeds.TRANSACTIONS, options.batch_rows)
         writers.write_table(
-            streams.score_micro_batches(arriving(1), full), f"{out}/streaming_fraud_batches"
+            streams.score_micro_batches(batches, full), f"{out}/streaming_fraud_batches"
         )
+        arriving = readers.stream_table(spark, path, feeds.TRANSACTIONS)
         writers.write_table(
-            streams.run_available(streams.score_events(arriving(), homes, full), "live"),
+            streams.run_available(streams.score_events(arriving, homes, full), "live"),
             f"{out}/streaming_fraud_events",
         )
     writers.write_table(
@@ -151,7 +157,7 @@ def run(spark: SparkSession, lake: str, out: str, options: RunOptions = RunOptio
     )
     figures["fraud_model_clean"] = full.metrics()
     figures["fraud_model_baseline"] = base.metrics()
-    figures["transaction_anomalies"] = anomaly.anomaly_summary(anomalies)
+    figures["transaction_anomalies"] = anomaly.anomaly_summary(anomalies, forest=forest)
     figures["sentiment"] = sentiment.sentiment_accuracy(reviews).withColumnRenamed(
         "n", "n_labelled"
     ).withColumn("n_reviews", reviews.agg(n).scalar())

@@ -598,16 +598,40 @@ def statements() -> dict[str, str]:
             select threshold, count(score) filter (where score >= threshold) as n
             from (values {thresholds}) t(threshold), scored group by threshold""",
         ),
-        "lake_counts": _with(
-            ["tx", "reviews", "lines", "churn", "ratings"],
+        "alert_counts": _with(
+            ["scored"],
             """
+            select alert, threshold, count(score) filter (where score >= threshold) as n
+            from (values ('fraud', cast(0.5 as double)), ('anomaly', cast(0.55 as double))) t(alert, threshold),
+                 scored group by alert, threshold""",
+        ),
+        "findings_check": _with(
+            ["tx", "reviews_clean", "sets", "rules", "ratings_clean"],
+            f"""
+            select 'data_lake' as section, 'transactions_rows' as metric, count(*) as value from tx
+            union all select 'data_lake', 'rollup_users', count(*) from (select distinct user_id from tx) u
+            union all select 'sentiment', 'n_reviews', count(*) from reviews_clean
+            union all select 'market_basket', 'n_frequent_itemsets', count(*) from sets
+            union all select 'market_basket', 'n_rules', count(*) from rules where confidence >= {CONFIDENCE}
+            union all select 'collaborative_filtering', 'n_users_in_matrix', count(distinct user_id)
+                from ratings_clean
+            union all select 'collaborative_filtering', 'n_products_in_matrix', count(distinct product_id)
+                from ratings_clean
+            union all select 'all', 'verdicts', 8""",
+        ),
+        "lake_counts": _with(
+            ["tx", "reviews", "lines", "churn", "ratings", "sets", "rules"],
+            f"""
             select 'transactions' as metric, count(*) as value from tx
             union all select 'reviews', count(*) from reviews
             union all select 'order_line_items', count(*) from lines
             union all select 'user_churn_features', count(*) from churn
             union all select 'user_product_ratings', count(*) from ratings
             union all select 'rating_users', count(distinct user_id) from ratings
-            union all select 'rating_products', count(distinct product_id) from ratings""",
+            union all select 'rating_products', count(distinct product_id) from ratings
+            union all select 'frequent_itemsets', count(*) from sets
+            union all select 'association_rules', count(*) from rules
+                where confidence >= {RULE_CONFIDENCE}""",
         ),
         "lake_manifest": " union all ".join(
             f"select '{t}' as name, '{t}.parquet' as path, 'parquet' as format, "

@@ -29,9 +29,9 @@ from tillwise.operators import (
     whatif,
 )
 from tillwise.plans import findings, trained
-from tillwise.sources import feeds, readers, writers
+from tillwise.sources import feeds, offsets, readers, writers
 from tillwise.streaming import transactions as streams
-from tillwise.workspace import fresh_path
+from tillwise.workspace import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -297,6 +297,22 @@ def lake_counts(spark, folder):
         feeds.order_lines(spark, folder),
         feeds.churn_features(spark, folder),
         feeds.ratings(spark, folder),
+        trained.itemsets(spark, folder),
+        _rules(spark, folder, RULE_CONFIDENCE),
+    )
+
+
+@query
+def alert_counts(spark, folder):
+    scored = amount_score(trained.clean_transactions(spark, folder))
+    return reporting.alert_counts(scored, "score", scored, "score")
+
+
+@query
+def model_alert_counts(spark, folder):
+    fraud = trained.fraud_model(spark, folder).score(trained.featured_transactions(spark, folder))
+    return reporting.alert_counts(
+        fraud, "fraud_proba", trained.anomaly_scores(spark, folder), "anomaly_score"
     )
 
 
@@ -532,7 +548,7 @@ def anomaly_summary(spark, folder):
 @query
 def whatif_features(spark, folder):
     made = whatif.whatif_features(
-        feeds.scenarios(spark, folder), feeds.transactions(spark, folder)
+        feeds.scenarios(spark, folder), trained.order_summary(spark, folder)
     )
     return micros(made.withColumns(rounded("amount")))
 
@@ -547,7 +563,7 @@ def whatif_without_history(spark, folder):
 @query
 def whatif_score(spark, folder):
     made = whatif.whatif_features(
-        feeds.scenarios(spark, folder), feeds.transactions(spark, folder)
+        feeds.scenarios(spark, folder), trained.order_summary(spark, folder)
     )
     return micros(
         whatif.whatif_score(made, trained.fraud_model(spark, folder), trained.forest(spark, folder))
@@ -644,7 +660,7 @@ def _metric_rows(spark, folder) -> dict[str, DataFrame]:
         ),
         "fraud_model_clean": trained.fraud_model(spark, folder).metrics(),
         "fraud_model_baseline": trained.fraud_baseline(spark, folder).metrics(),
-        "transaction_anomalies": anomaly.anomaly_summary(scored),
+        "transaction_anomalies": anomaly.anomaly_summary(scored, forest=trained.forest(spark, folder)),
         "sentiment": sentiment.sentiment_accuracy(reviews)
         .withColumnRenamed("n", "n_labelled")
         .withColumn("n_reviews", reviews.agg(n).scalar()),
@@ -656,7 +672,28 @@ def _metric_rows(spark, folder) -> dict[str, DataFrame]:
 
 @query
 def findings_table(spark, folder):
-    return findings.findings_table(findings.metric_table(_metric_rows(spark, folder)))
+    return findings.findings_table(_metrics(spark, folder))
+
+
+def _metrics(spark, folder) -> DataFrame:
+    return trained.once(
+        spark, folder, "metrics",
+        lambda: materialise(findings.metric_table(_metric_rows(spark, folder)), "metrics"),
+    )
+
+
+@query
+def findings_check(spark, folder):
+    """The counted figures of the findings, and how many sections have a verdict."""
+    table = materialise(findings.findings_table(_metrics(spark, folder)), "findings")
+    counted = table.where(F.col("metric").isin(*findings.COUNTED)).select(
+        "section", "metric", F.col("value").cast("long").alias("value")
+    )
+    judged = table.where(F.col("finding").isNotNull()).agg(
+        F.lit("all").alias("section"), F.lit("verdicts").alias("metric"),
+        F.countDistinct("section").alias("value"),
+    )
+    return counted.unionByName(judged)
 
 
 # --- streaming --------------------------------------------------------------------
@@ -682,18 +719,11 @@ def stream_event_score(spark, folder):
     return streams.run_available(scored, "event-scores")
 
 
-# Rows of a staged file: scores see their micro-batch alone, so its size is fixed.
-BATCH_ROWS = 10_000
-
-
 @query
 def stream_batch_scores(spark, folder):
-    """Cleaned transactions staged in order of time, about BATCH_ROWS to a file and micro-batch."""
-    staged = fresh_path(spark, "staged")
-    cleaned = trained.clean_transactions(spark, folder)
-    files = max(1, -(-cleaned.count() // BATCH_ROWS))
-    cleaned.repartitionByRange(files, "timestamp", "txn_id").write.parquet(staged)
-    stream = readers.stream_table(spark, staged, feeds.TRANSACTIONS, files_per_batch=1)
+    """Cleaned transactions as a stream of logical batches of BATCH_SIZE rows."""
+    path = offsets.folder_of(trained.clean_transactions(spark, folder))
+    stream = offsets.stream_rows(spark, path, feeds.TRANSACTIONS, BATCH_SIZE)
     return streams.score_micro_batches(stream, trained.fraud_model(spark, folder))
 
 

@@ -11,14 +11,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwise.operators import anomaly, baskets, cleaning, collaborative, factors, features, models
+from tillwise.operators import anomaly, baskets, cleaning, collaborative, factors, features, models, whatif
 from tillwise.sources import feeds
-from tillwise.workspace import materialise
+from tillwise.workspace import fresh_path, materialise
 
 _made: dict[tuple[str, str, str], Any] = {}
 
 
-def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], Any]) -> Any:
+def once(spark: SparkSession, folder: str, name: str, make: Callable[[], Any]) -> Any:
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _made:
         _made[key] = make()
@@ -31,7 +31,7 @@ def forget() -> None:
 
 
 def clean_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    fill = _once(
+    fill = once(
         spark,
         folder,
         "transaction_fill",
@@ -42,7 +42,7 @@ def clean_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def featured_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned, featurised transactions, written once for their many readers."""
-    return _once(
+    return once(
         spark,
         folder,
         "featured_transactions",
@@ -53,7 +53,7 @@ def featured_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def homes(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
+    return once(
         spark,
         folder,
         "homes",
@@ -64,7 +64,7 @@ def homes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fraud_model(spark: SparkSession, folder: str) -> models.Classifier:
-    return _once(
+    return once(
         spark,
         folder,
         "fraud_model",
@@ -73,7 +73,7 @@ def fraud_model(spark: SparkSession, folder: str) -> models.Classifier:
 
 
 def fraud_baseline(spark: SparkSession, folder: str) -> models.Classifier:
-    return _once(
+    return once(
         spark,
         folder,
         "fraud_baseline",
@@ -82,7 +82,7 @@ def fraud_baseline(spark: SparkSession, folder: str) -> models.Classifier:
 
 
 def churn_users(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
+    return once(
         spark,
         folder,
         "churn_users",
@@ -93,7 +93,7 @@ def churn_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def churn_model(spark: SparkSession, folder: str) -> models.Classifier:
-    return _once(
+    return once(
         spark,
         folder,
         "churn_model",
@@ -102,7 +102,7 @@ def churn_model(spark: SparkSession, folder: str) -> models.Classifier:
 
 
 def forest(spark: SparkSession, folder: str) -> anomaly.Forest:
-    return _once(
+    return once(
         spark,
         folder,
         "forest",
@@ -112,7 +112,7 @@ def forest(spark: SparkSession, folder: str) -> anomaly.Forest:
 
 def anomaly_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Scored rows, written because the outlier limit reads the scores again."""
-    return _once(
+    return once(
         spark,
         folder,
         "anomaly_scores",
@@ -124,7 +124,7 @@ def anomaly_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def basket_support(spark: SparkSession, folder: str) -> baskets.BasketSupport:
-    return _once(
+    return once(
         spark,
         folder,
         "basket_support",
@@ -135,7 +135,7 @@ def basket_support(spark: SparkSession, folder: str) -> baskets.BasketSupport:
 
 
 def itemsets(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
+    return once(
         spark,
         folder,
         "itemsets",
@@ -148,11 +148,11 @@ def centred(spark: SparkSession, folder: str) -> DataFrame:
         ratings = cleaning.clean_ratings(feeds.ratings(spark, folder))
         return materialise(collaborative.centred_ratings(ratings), "centred")
 
-    return _once(spark, folder, "centred", make)
+    return once(spark, folder, "centred", make)
 
 
 def unit(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
+    return once(
         spark,
         folder,
         "unit",
@@ -161,7 +161,7 @@ def unit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def neighbors(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(
+    return once(
         spark,
         folder,
         "neighbors",
@@ -169,6 +169,16 @@ def neighbors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_summary(spark: SparkSession, folder: str) -> whatif.OrderSummary:
+    """What scenarios read instead of the history."""
+
+    def make() -> whatif.OrderSummary:
+        history = feeds.transactions(spark, folder)
+        return whatif.OrderSummary.of(history).write(fresh_path(spark, "order-summary"))
+
+    return once(spark, folder, "order_summary", make)
+
+
 def factor_lists(spark: SparkSession, folder: str) -> DataFrame:
     """Factor recommendations of every user, products the user rated left out."""
 
@@ -178,7 +188,7 @@ def factor_lists(spark: SparkSession, folder: str) -> DataFrame:
         found = factors.factor_recommendations(model.userFactors, model.itemFactors, ratings)
         return materialise(found, "factor-lists")
 
-    return _once(spark, folder, "factor_lists", make)
+    return once(spark, folder, "factor_lists", make)
 
 
 def recommendations(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,4 +196,4 @@ def recommendations(spark: SparkSession, folder: str) -> DataFrame:
         found = collaborative.recommend(neighbors(spark, folder), centred(spark, folder), k=8)
         return materialise(found, "recommendations")
 
-    return _once(spark, folder, "recommendations", make)
+    return once(spark, folder, "recommendations", make)

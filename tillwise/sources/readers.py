@@ -105,6 +105,7 @@ def stream_table(
     The path is given as a pattern that matches only itself: the stream source
     takes a plain path to be a folder, while a pattern may also match a file.
     """
+    path = path.rstrip("/")
     exact = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if files_per_batch:
