@@ -1,10 +1,11 @@
-"""Review sentiment from a word list."""
+"""Review sentiment from a word list, or from a lexicon table with phrases."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillwise.functions.lexicon import with_polarity
 from tillwise.functions.text import (
     INTENSIFIERS,
     NEGATIONS,
@@ -35,6 +36,16 @@ def score_reviews(
     )
 
 
+def score_with_lexicon(
+    reviews: DataFrame, lexicon: DataFrame, threshold: float = 0.05
+) -> DataFrame:
+    """Add polarity and sentiment by a lexicon table with phrases; see ``functions.lexicon``."""
+    scored = with_polarity(reviews, lexicon)
+    return scored.withColumn("polarity", F.round("polarity", POLARITY_DIGITS)).withColumn(
+        "sentiment", sentiment_label(F.col("polarity"), threshold)
+    )
+
+
 def labelled(scored: DataFrame) -> DataFrame:
     return scored.where(F.col("true_sentiment").isNotNull())
 

@@ -7,6 +7,7 @@ way over whole tables.
 
 from __future__ import annotations
 
+from tillwise.functions.lexicon import default_entries
 from tillwise.functions.text import INTENSIFIERS, NEGATION_FACTOR, NEGATIONS, POLARITY
 from tillwise.operators.baskets import CONFIDENCE, SUPPORT_FULL
 from tillwise.operators.cleaning import CORRUPT_MARK, EMPTY_REVIEW_TEXT
@@ -20,6 +21,10 @@ def _map(entries: dict[str, float]) -> str:
     return f"map([{keys}], [{values}])"
 
 
+_LEXICON = ", ".join(
+    f"('{p}', '{role}', cast({v} as double), {scope})"
+    for p, role, v, scope, *_ in default_entries() if len(p.split()) < 3
+)
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]+"
 _PHRASES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(REVIEW_PHRASES))
 
@@ -153,6 +158,46 @@ _PARTS: dict[str, tuple[list[str], str]] = {
               from words window w as (partition by review_id order by pos)) x
         where token in ({", ".join(f"'{w}'" for w in POLARITY)})""",
     ),
+    # No phrase ends with the word another begins with, so a pair of words that is a phrase
+    # is always taken, and the second word never begins a match.
+    "matches": (
+        ["reviews_clean"],
+        rf"""
+        select review_id, pos, len, role, value, scope,
+               coalesce(sum(case when role = 'score' then 1 else 0 end) over (
+                   partition by review_id order by pos
+                   rows between unbounded preceding and 1 preceding), 0) as part
+        from (select review_id, pos, token, pair,
+                     lag(pair in (select phrase from (values {_LEXICON}) l(phrase, role, value, scope)))
+                         over (partition by review_id order by pos) as taken
+              from (select review_id, u.pos as pos, u.token as token,
+                           u.token || ' ' || lead(u.token) over (partition by review_id order by u.pos) as pair
+                    from (select review_id,
+                                 regexp_extract_all(lower(text), '\p{{L}}[\p{{L}}\p{{M}}''’]*') as tokens
+                          from reviews_clean) r,
+                         unnest(tokens) with ordinality as u(token, pos)) w) t
+        join (select *, len(string_split(phrase, ' ')) as len
+              from (values {_LEXICON}) l(phrase, role, value, scope)) l
+          on (l.len = 2 and l.phrase = t.pair)
+             or (l.len = 1 and l.phrase = t.token
+                 and coalesce(t.pair not in (select phrase from (values {_LEXICON}) k(phrase, role, value, scope)), true))
+        where not coalesce(taken, false)""",
+    ),
+    "scaled": (
+        ["matches"],
+        """
+        select review_id, part, max(pos) filter (where role = 'score') as pos,
+               greatest(-1.0, least(1.0,
+                   max(value) filter (where role = 'score')
+                   * case when max(pos) filter (where role = 'score')
+                               <= arg_max(pos + len - 1 + scope, pos) filter (where role = 'negation')
+                          then arg_max(value, pos) filter (where role = 'negation') else 1.0 end
+                   * case when max(pos) filter (where role = 'score')
+                               <= arg_max(pos + len - 1 + scope, pos) filter (where role = 'intensifier')
+                          then arg_max(value, pos) filter (where role = 'intensifier') else 1.0 end)) as value
+        from matches group by review_id, part
+        having count(*) filter (where role = 'score') > 0""",
+    ),
     "sentiments": (
         ["reviews_clean", "strengths"],
         f"""
@@ -641,6 +686,17 @@ def statements() -> dict[str, str]:
         "sentiment_polarity": _with(
             ["sentiments"], "select review_id, polarity, sentiment from sentiments"
         ),
+        "sentiment_phrases": _with(
+            ["reviews_clean", "scaled"],
+            f"""
+            select review_id, polarity, cast(n as integer) as polarity_phrases,
+                   case when polarity > 0.05 then 'positive' when polarity < -0.05 then 'negative'
+                        else 'neutral' end as sentiment
+            from (select r.review_id, coalesce(s.n, 0) as n, {_r("coalesce(s.mean, 0)")} as polarity
+                  from reviews_clean r left join (
+                      select review_id, count(*) as n, sum(value order by pos) / count(*) as mean
+                      from scaled group by review_id) s on r.review_id = s.review_id) x""",
+        ),
         "sentiment_counts": _with(
             ["sentiments"], "select sentiment, count(*) as n from sentiments group by sentiment"
         ),

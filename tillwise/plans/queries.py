@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwise.functions import lexicon
 from tillwise.functions.ordering import (
     exact_quantiles,
     group_order_window,
@@ -336,6 +337,14 @@ def sentiment_polarity(spark, folder):
     return _scored_reviews(spark, folder).select("review_id", "polarity", "sentiment")
 
 
+@query
+def sentiment_phrases(spark, folder):
+    """Polarity by the default lexicon as a table, phrases and scopes included."""
+    reviews = cleaning.clean_reviews(feeds.reviews(spark, folder)).select("review_id", "text")
+    scored = sentiment.score_with_lexicon(reviews, lexicon.default_lexicon(spark))
+    return scored.select("review_id", "polarity", "polarity_phrases", "sentiment")
+
+
 @query
 def sentiment_counts(spark, folder):
     return sentiment.sentiment_counts(_scored_reviews(spark, folder))
