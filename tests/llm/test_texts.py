@@ -66,6 +66,23 @@ def test_license_of_texts_and_lines(spark, rows):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_license_copyright_lines_and_runs(spark, rows):
+    mit = license_scan.MIT_BODY
+    flat = mit.replace("\n\n", "#").replace("\n", " ").replace("#", "\n\n")
+    heads = ["Copyright (c) Microsoft Corporation.", "Copyright (c) The Foo Authors\nAll rights reserved.",
+             "Copyright Jane Doe 2020", "Copyright (c) <year> <holder>", "(c) 2020 Jane", "© Jane 1999", "// © 2020",
+             "Copyright © Jane.\nCOPYRIGHT 2001, 2002 Others"]
+    texts = [f"{h}\n\n{mit}" for h in heads]
+    texts += [f"def f():\n    pass\n\n{mit}", f"Before.\n{flat}\nAfter.", f"{mit}\n{mit}\nx",
+              license_scan.BSD_CONDITIONS + license_scan.BSD_NAMES + license_scan.BSD_DISCLAIMER,
+              "int x;\n" + license_scan.MPL_NOTICE.replace("\n", " "), "# spdx-license-identifier: lgpl-3.0-only",
+              "a) first\nb) second\nc) third", mit.replace("sublicense", "sell"), "(c) You must keep " + mit]
+    got = [(r.license, r.notices) for r in license_scan.scan(docs(rows, texts)).orderBy("doc_id").collect()]
+    assert got[:8] == [("MIT", [])] * 8
+    assert got[8:] == [(None, ["MIT"]), (None, ["MIT"]), (None, ["MIT"]), ("BSD-3-Clause", []),
+                       (None, ["MPL-2.0"]), ("LGPL-3.0-only", ["LGPL-3.0-only"]), (None, []), (None, []), (None, [])]
+
+
 def brute_fingerprint(text):
     low = (text or "").translate({c: c + 32 for c in range(65, 91)})
     words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", low) if w]

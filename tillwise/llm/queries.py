@@ -121,11 +121,11 @@ def _list(values) -> str:
 def _license_sql() -> str:
     """The scan in DuckDB's dialect: the same levelling, digests of the known texts inline."""
     level = "lower(text)"
-    for old, new in (("https://", ""), ("http://", ""), ("&", " and ")):
+    for old, new in (("https://", ""), ("http://", ""), ("&", " and "), ("©", "(c)")):
         level = f"replace({level}, '{old}', '{new}')"
     for pattern, put in (
-        (r"\n[^a-z0-9\n]*(copyright|\(c\)|©)( |\(c\)|©)*[0-9][0-9][0-9][0-9][^\n]*", "\n"),
-        (r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f©‘’“”–—]+", " "),
+        (license_scan.COPYRIGHT, "\n"),
+        (r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f‘’“”–—]+", " "),
     ):
         level = f"regexp_replace({level}, '{pattern}', '{put}', 'g')"
     for old, new in license_scan.SPELLINGS:
@@ -141,19 +141,32 @@ def _license_sql() -> str:
         select doc_id, license, [trim(x) for x in string_split({level}, chr(10)) if trim(x) <> '']
                as lines from texts
     ), units as (
-        select doc_id, license, lines,
+        select doc_id, license, lines, coalesce(array_to_string(lines, ' '), '') as form,
                sha256(coalesce(array_to_string(lines, ' '), '')) as digest
         from level
     ), known as (
         select distinct license, digest from units where license is not null
+    ), longer as (
+        select distinct length(form) as n from units where license is not null and len(lines) > 1
+    ), ends as (
+        select doc_id, digest, lines,
+               [coalesce(list_sum([length(x) + 1 for x in lines[1:k]]), 0)
+                for k in range(0, len(lines) + 1)] as e
+        from units where license is null
+    ), parts as (
+        select doc_id, digest, true as single, unnest(lines) as line from units where license is null
+        union all
+        select doc_id, digest, false, array_to_string(lines[a.i:b.j], ' ')
+        from ends, unnest(range(1, len(lines))) as a(i), unnest(range(a.i + 1, len(lines) + 1)) as b(j)
+        where e[b.j + 1] - e[a.i] - 1 in (select n from longer)
     ), hits as (
-        select doc_id, u.digest, list_sort(list(distinct k.license)) as notices
-        from (select doc_id, digest, unnest(lines) as line
-              from units where license is null) u
-        join known k on k.digest = sha256(u.line)
+        select doc_id, p.digest, list_sort(list(distinct k.license)) as all_of,
+               list_sort(coalesce(list(distinct k.license) filter (where p.single), [])) as of_lines
+        from parts p join known k on k.digest = sha256(p.line)
         group by all
     ), whole as (select digest, min(license) as license from known group by digest)
-    select u.doc_id, u.digest, w.license, coalesce(h.notices, []::varchar[]) as notices
+    select u.doc_id, u.digest, w.license,
+           coalesce(case when w.license is null then h.all_of else h.of_lines end, []::varchar[]) as notices
     from (select * from units where license is null) u
     left join whole w on w.digest = u.digest
     left join hits h on h.doc_id is not distinct from u.doc_id and h.digest = u.digest
@@ -247,13 +260,13 @@ with w as (
 ), least as (
     select g, min(doc_id) as first from win group by g
 ), hit as (
-    select distinct r, i + unnest(range(13)) as at from win join least using (g)
+    select distinct r, i + unnest(range(13)) as place from win join least using (g)
     where first < doc_id or (doc_id is null and first is not null)
 ), words as (
-    select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as at from w
+    select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as place from w
 ), kept as (
-    select r, count(*) as n, string_agg(word, ' ' order by at) as kept
-    from words anti join hit using (r, at) group by r
+    select r, count(*) as n, string_agg(word, ' ' order by place) as kept
+    from words anti join hit using (r, place) group by r
 )
 select w.doc_id, len(w.ws)::bigint as n_words, (len(w.ws) - coalesce(n, 0))::bigint as n_removed,
        sha256(coalesce(kept, '')) as kept_sha256
