@@ -51,7 +51,8 @@ def nodes_of(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame
     """``node, exact, vec, ids`` of distinct usable vectors.
 
     ``exact``: components as doubles; ``vec``: of the unit vector, a scale and eight bits
-    per component; ``ids``: the k smallest ids with this vector; ``node``: the smallest.
+    per component; ``ids``: the k smallest ids with this vector; ``node``: a number of the
+    vector's own, as ids may have several vectors. Write the frame before its use.
     """
 
     def exact(batches):
@@ -74,11 +75,9 @@ def nodes_of(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame
     def pack(batches):
         for batch in batches:
             packed = [_packed(np.frombuffer(v.as_py(), "<f8")) for v in batch.column(0)]
-            ids = batch.column(1)
-            first = ids.values.take(ids.offsets[:-1]) if len(ids) else pa.array([], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [first, batch.column(0), pa.array(packed, pa.binary()), ids],
-                ["node", "exact", "vec", "ids"],
+                [batch.column(0), pa.array(packed, pa.binary()), batch.column(1)],
+                ["exact", "vec", "ids"],
             )
 
     vector = F.col(vec_col).cast("array<double>")
@@ -86,9 +85,10 @@ def nodes_of(vectors: DataFrame, id_col: str, vec_col: str, k: int) -> DataFrame
     rows = chosen.where(usable(F.col("v")) & F.col("id").isNotNull()).mapInArrow(
         exact, "id long, exact binary"
     )
-    return distinct(rows.distinct(), "exact", "id", k).select("exact", "ids").mapInArrow(
-        pack, "node long, exact binary, vec binary, ids array<long>"
+    packed = distinct(rows.distinct(), "exact", "id", k).select("exact", "ids").mapInArrow(
+        pack, "exact binary, vec binary, ids array<long>"
     )
+    return packed.select(F.monotonically_increasing_id().alias("node"), "exact", "vec", "ids")
 
 
 def _packed(row: np.ndarray) -> bytes:
@@ -497,7 +497,7 @@ def nearest(
     shapes = "query_id long, rank int, vec_id long, score double"
     if nodes.isEmpty():
         return spark.createDataFrame([], shapes)
-    # Equal query vectors walk once; the walk is known by the smallest id that asks.
+    # Equal query vectors walk once; the walk is known by the vector's number.
     asked_nodes = nodes_of(queries, id_col, vec_col, 1).select(
         F.col("node").alias("query"), "exact", "vec")
     asked = materialise(
