@@ -731,7 +731,7 @@ def stream_event_score(spark, folder):
 @query
 def stream_batch_scores(spark, folder):
     """Cleaned transactions as a stream of logical batches of BATCH_SIZE rows."""
-    path = offsets.folder_of(trained.clean_transactions(spark, folder))
+    path = offsets.folder_of(trained.clean_table(spark, folder))
     stream = offsets.stream_rows(spark, path, feeds.TRANSACTIONS, BATCH_SIZE)
     return streams.score_micro_batches(stream, trained.fraud_model(spark, folder))
 

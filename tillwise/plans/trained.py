@@ -169,6 +169,16 @@ def neighbors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def clean_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned transactions as a written table, for readers that go by its files."""
+    return once(
+        spark,
+        folder,
+        "clean_table",
+        lambda: materialise(clean_transactions(spark, folder), "clean-table"),
+    )
+
+
 def order_summary(spark: SparkSession, folder: str) -> whatif.OrderSummary:
     """What scenarios read instead of the history."""
 

@@ -139,5 +139,8 @@ def stream_rows(
 
 
 def folder_of(df: DataFrame) -> str:
-    """The folder of a frame that scans one written table."""
-    return df.select(F.lit(1)).inputFiles()[0].rsplit("/", 1)[0]
+    """The folder of a frame that scans one written table, all its files in one folder."""
+    folders = {f.rsplit("/", 1)[0] for f in df.select(F.lit(1)).inputFiles()}
+    if len(folders) != 1:
+        raise ValueError(f"not one written table: {sorted(folders)}")
+    return folders.pop()
