@@ -31,8 +31,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id.
 
-    Near copies have a Jaccard similarity of 0.8 or more in shingles of five words. The
-    contract of the query op4_simhash (four words, four bits) binds that query only.
+    Near copies have a Jaccard similarity of 0.8 or more in shingles of five words. SimHash
+    links propose them, MinHash bands propose those too many bits apart, and the shingles
+    decide. The contract of op4_simhash (four words, four bits) binds that query only.
     """
     return near_texts.deduplicate(docs)
 

@@ -1,12 +1,14 @@
-"""Near copies by the Jaccard similarity of word shingles, confirmed on the texts themselves.
+"""Near copies by SimHash, confirmed by the Jaccard similarity of word shingles.
 
 Two texts link when the sets of their five-word shingles have a Jaccard similarity of
-at least 0.8 (texts of fewer words are one shingle). Candidates come from MinHash: 24
-bands of four minima. Texts of similarity 0.8 share no band with a probability of
-(1 - 0.8^4)^24 = 3e-6, more similar ones with less. Candidates are joined into
-families, and within a family every pair is judged by its shingles: no text is
-dropped on the word of a sketch, and a pair of a family links whether or not it
-shares a band itself.
+at least 0.8 (texts of fewer words are one shingle). Each text has a SimHash fingerprint
+of its set, and ``simhash.links`` proposes the texts whose fingerprints differ in few
+bits. At a similarity of 0.8 about 10 of 64 bits differ, more than any search by chains
+of bits can ask for, so such texts are proposed by MinHash as well: 24 bands of four
+minima, of which they share none with a probability of (1 - 0.8^4)^24 = 3e-6. Both kinds
+of candidates are joined into families, and within a family every pair is judged by its
+shingles: no text is dropped on the word of a sketch, and a pair of a family links
+whether or not it was a candidate itself.
 
 A family is solved in one task, which counts common shingles through an inverted index
 and returns a spanning forest of the links. Families above a bound on memory and work
@@ -30,7 +32,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
 from tillwise.llm.components import components
 from tillwise.llm.memory import returning_memory
-from tillwise.llm.simhash import SEED, _UPPER
+from tillwise.llm.simhash import SEED, _UPPER, links, majority
 from tillwise.workspace import materialise
 
 SHINGLE_WORDS = 5
@@ -84,21 +86,51 @@ def _digests(texts: pa.Array) -> pa.Array:
     return pa.array([_digest(words_of(t.as_py() or b"")) for t in texts], pa.binary())
 
 
-_SIGNED = pa.struct([("digest", pa.binary()), ("size", pa.int64()), ("keys", pa.list_(pa.int64()))])
+_SIGNED = pa.struct(
+    [("digest", pa.binary()), ("size", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))]
+)
+
+
+def simhash_of(found: np.ndarray) -> int | None:
+    """The SimHash fingerprint of a set of shingles as a signed long; none without shingles."""
+    if not len(found):
+        return None
+    one = majority(found[k : k + _SLICE] for k in range(0, len(found), _SLICE))
+    return one - (1 << 64) if one >> 63 else one
 
 
 @F.arrow_udf(
-    StructType().add("digest", BinaryType()).add("size", LongType()).add("keys", ArrayType(LongType()))
+    StructType().add("digest", BinaryType()).add("size", LongType()).add("fp", LongType())
+    .add("keys", ArrayType(LongType()))
 )
 def _signed(texts: pa.Array) -> pa.Array:
     out = []
     for t in texts:
         words = words_of(t.as_py() or b"")
         found = shingles(words)
-        out.append({"digest": _digest(words), "size": len(found), "keys": band_keys(found)})
+        out.append({
+            "digest": _digest(words), "size": len(found),
+            "fp": simhash_of(found), "keys": band_keys(found),
+        })
     return pa.array(out, _SIGNED)
 
 
+def _linked(distinct: DataFrame) -> DataFrame:
+    """Edges that connect the texts whose SimHash fingerprints are equal or link."""
+    prints = materialise(
+        distinct.where("fp is not null").groupBy("fp").agg(F.min("digest").alias("first")), "near-prints"
+    )
+    near = links(prints.select("fp"))
+    firsts = [prints.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_first")) for c in ("a", "b")]
+    far = near.join(firsts[0], "a").join(firsts[1], "b").select(
+        F.col("a_first").alias("a"), F.col("b_first").alias("b")
+    )
+    equal = distinct.join(prints, "fp").where("digest <> first").select(
+        F.col("first").alias("a"), F.col("digest").alias("b")
+    )
+    return far.unionByName(equal)
+
+
 def _shared(distinct: DataFrame) -> DataFrame:
     """Edges from every text of a band's key to the smallest digest of that key."""
     offered = distinct.select(F.explode("keys").alias("key"), "digest")
@@ -191,10 +223,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     distinct = materialise(
         docs.select(order.alias("at"), _signed(text).alias("s"))
         .groupBy(F.col("s.digest").alias("digest"))
-        .agg(F.min("at").alias("least"), F.first("s.size").alias("size"), F.first("s.keys").alias("keys")),
+        .agg(F.min("at").alias("least"), F.first("s.size").alias("size"),
+             F.first("s.fp").alias("fp"), F.first("s.keys").alias("keys")),
         "near-distinct",
     )
-    families = components(_shared(distinct)).withColumnRenamed("component", "family")
+    candidates = _linked(distinct).unionByName(_shared(distinct))
+    families = components(candidates).withColumnRenamed("component", "family")
     info = distinct.join(families, F.col("digest") == F.col("node"), "left")
     info = materialise(info.select("digest", "least", "size", "family"), "near-info")
     work = F.greatest(F.sqrt(F.col("size") / BLOCK_STEPS), F.col("size") / BLOCK_SHINGLES)
@@ -202,7 +236,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.greatest(F.ceil(F.sum(work)), F.lit(1)).cast("long").alias("blocks")
     )
 
-    # Joined and ranked by one key that is never null, so the texts are moved once.
+    # Joined and ranked by two keys that are never null, so the texts are moved once.
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         order.alias("at"), _digests(text).alias("digest"),
@@ -213,7 +247,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     first = W.partitionBy("h", "digest", "at").orderBy(F.col("row").getField(text_col))
     firsts = materialise(
-        rows.join(chosen, F.expr("h = c_h and digest <=> c_digest and at <=> c_least"))
+        rows.join(chosen, F.expr(
+            "h = c_h and digest = c_digest"
+            " and coalesce(at.id = c_least.id, at.id is null and c_least.id is null)"
+        ))
         .withColumn("n", F.row_number().over(first)).where("n = 1").select("row", "digest", "family"),
         "near-firsts",
     )

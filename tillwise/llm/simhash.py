@@ -21,7 +21,7 @@ Equal texts and equal fingerprints are merged before the search, by an aggregate
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,15 +59,23 @@ def fingerprint(text: bytes) -> int:
     span = min(SHINGLE_WORDS, len(words)) - 1
     first, last = starts[: len(words) - span].tolist(), ends[span:].tolist()
     digest = xxhash.xxh64_intdigest
-    votes = np.zeros(64, np.int64)
-    for k in range(0, len(first), _SLICE):
-        hashes = np.array(
+    return majority(
+        np.array(
             [digest(joined[a:b], SEED) for a, b in zip(first[k : k + _SLICE], last[k : k + _SLICE])],
             dtype="<u8",
         )
+        for k in range(0, len(first), _SLICE)
+    )
+
+
+def majority(slices: Iterable[np.ndarray]) -> int:
+    """The bits set in over half of all hashes (unsigned, 64 bits) of the slices."""
+    votes, n = np.zeros(64, np.int64), 0
+    for hashes in slices:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         votes += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > len(first), bitorder="little").view("<u8")[0])
+        n += len(hashes)
+    return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0])
 
 
 @F.arrow_udf(LongType())
