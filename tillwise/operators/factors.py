@@ -4,7 +4,9 @@ Item factors are sorted by length and cut into blocks. A user's k-th score so fa
 bound: where the user's length times the longest item of a block falls below it, neither
 that block nor any later one can change the list. Rounds read one block, the next, the
 next two, four and so on, for the users still open; in skewed catalogues most users stop
-after the first. Lists are exact for the factors at hand, over all users and items.
+after the first. Within a task the same bound is taken block by block, and scores are
+first taken in single precision: only those that can reach a user's k-th score are worked
+out and compared in full. Lists are exact for the factors at hand, over all users and items.
 """
 
 from __future__ import annotations
@@ -21,7 +23,11 @@ from tillwise.operators.collaborative import RANK_DIGITS, mean_ratings
 from tillwise.workspace import materialise
 
 ITEM_BLOCK = 4_096
-USER_BLOCK = 2_048
+USER_BLOCK = 16_384
+#: Blocks of users that a smaller input is cut into, of this many users at least.
+SPREAD, LEAST_USERS = 32, 2_048
+#: Rows and columns of one product of matrices.
+TILE = 1_024
 #: Item blocks that a task holds.
 HELD_BLOCKS = 32
 _MARGIN = 1e-6
@@ -82,12 +88,14 @@ def factor_recommendations(
         F.collect_list("product_id").alias("rated")
     )
     users = _lengths(user_factors)
-    n_blocks = max(1, math.ceil(users.count() / user_block))
+    n_users = users.count()
+    n_blocks = max(1, math.ceil(n_users / user_block), min(SPREAD, math.ceil(n_users / LEAST_USERS)))
     users = materialise(
         users.join(seen, F.col("id") == F.col("user_id"), "left").select(
             "id", "features", "length",
             F.coalesce("rated", F.array().cast("array<long>")).alias("rated"),
             F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("ub"),
+            F.lit(None).cast("double").alias("kth"),
         ),
         "als-users",
     )
@@ -99,7 +107,7 @@ def factor_recommendations(
         asked = open_users.withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.lit((until - 1 - first) // HELD_BLOCKS))))
         offered = open_users.select(F.col("ub").alias("ub")).distinct().select("ub", some).join(
-            blocks, "ib").select("ub", held, "items")
+            blocks, "ib").select("ub", held, "longest", "items")
         found = asked.groupBy("ub", "part").cogroup(offered.groupBy("ub", "part")).applyInArrow(
             lambda u, i: _products(u, i, k), "user_id long, product_id long, score double"
         )
@@ -115,7 +123,8 @@ def factor_recommendations(
             done = kth.where(F.col("n") >= k).select(F.col("user_id").alias("id"), "kth")
             reached = F.col("length") * F.lit(longest) + _MARGIN >= F.coalesce("kth", F.lit(-math.inf))
             open_users = materialise(
-                users.join(done, "id", "left").where(F.col("kth").isNull() | reached).select(*users.columns),
+                users.drop("kth").join(done, "id", "left").where(F.col("kth").isNull() | reached)
+                .select(*users.columns),
                 "als-open",
             )
             if open_users.isEmpty():
@@ -132,34 +141,91 @@ def _matrix(column) -> np.ndarray:
 
 
 def _products(users: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
-    """The k best items of these blocks for each user, rated ones left out."""
+    """The k best items of these blocks for each user that reach ``kth``, rated ones left out."""
     out = []
-    if users.num_rows:
+    if users.num_rows and blocks.num_rows:
         rated = users["rated"].combine_chunks()
-        ends = rated.offsets.to_numpy()
-        owner = np.repeat(np.arange(users.num_rows), np.diff(ends))
-        mine = rated.flatten().to_numpy()
+        mine = np.unique(rated.flatten().to_numpy())
         ids, left = users["id"].to_numpy(), _matrix(users["features"])
-        for items in blocks["items"]:
+        length = users["length"].to_numpy()
+        floor = users["kth"].fill_null(-math.inf).to_numpy()
+        longest = blocks["longest"].to_numpy()
+        held = []
+        for b in np.argsort(-longest, kind="stable"):
+            items = blocks["items"][int(b)]
             numbers = items.values.field("id").to_numpy()
-            right = _matrix(items.values.field("features"))
-            # In order of id, so that a stable sort ranks equal scores.
             order = np.argsort(numbers)
-            numbers, right = numbers[order], right[order]
-            score = left @ right.T
-            spot = np.minimum(np.searchsorted(numbers, mine), len(numbers) - 1)
-            hit = numbers[spot] == mine
-            score[owner[hit], spot[hit]] = -np.inf
-            level = np.round(score, RANK_DIGITS)
-            if level.shape[1] > k:
-                kth = np.partition(level, level.shape[1] - k, axis=1)[:, -k][:, None]
-            else:
-                kth = np.full((len(level), 1), -np.inf)
-            who, what = np.nonzero((level >= kth) & np.isfinite(level))
-            turn = np.lexsort((what, -level[who, what], who))
-            who, what = who[turn], what[turn]
-            keep = np.arange(len(who)) - np.searchsorted(who, who) < k
-            who, what = who[keep], what[keep]
-            out.append((ids[who], numbers[what], score[who, what]))
+            held.append((longest[b], numbers[order], _matrix(items.values.field("features"))[order]))
+        for low in range(0, len(ids), TILE):
+            some = slice(low, min(low + TILE, len(ids)))
+            part = rated.slice(low, some.stop - low)
+            owner = np.repeat(np.arange(some.stop - low), np.diff(part.offsets.to_numpy()))
+            taken = np.sort(owner * max(1, len(mine)) + np.searchsorted(mine, part.flatten().to_numpy()))
+            who, what, score = _best_of(left[some], length[some], floor[some], held, mine, taken, k)
+            out.append((ids[some][who], what, score))
     columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)]
     return pa.table(dict(zip(("user_id", "product_id", "score"), map(pa.array, columns))))
+
+
+def _best_of(left, length, floor, held, mine, taken, k) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, item and score of the k best of ``held`` blocks, which come by falling length.
+
+    ``floor``: a score that another k items reach, per row. ``taken``: sorted numbers of the
+    pairs to leave out, row times ``len(mine)`` plus the item's place in ``mine``.
+    """
+    small = left.astype(np.float32)
+    slip = (left.shape[1] + 2) * 2.0**-23 * length
+    best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    floor = floor.copy()
+    for longest, numbers, right in held:
+        # Whoever cannot reach the floor with the longest item here is done with all that follow.
+        live = np.flatnonzero(length * longest + _MARGIN >= floor)
+        if not len(live):
+            break
+        limit = (floor[live] - _MARGIN - slip[live] * longest).astype(np.float32)
+        # Rounded down, as the comparison must let through whatever may pass.
+        limit = np.nextafter(limit, np.float32(-np.inf))
+        mine_live, narrow = small[live], right.astype(np.float32)
+        for start in range(0, len(numbers), TILE):
+            rough = mine_live @ narrow[start : start + TILE].T
+            unknown = np.flatnonzero(np.isneginf(limit))
+            if len(unknown) and rough.shape[1] > k:
+                # A first floor: the k-th of the free items here, on the safe side.
+                kth = _kth_free(rough[unknown], live[unknown], numbers[start : start + TILE], mine, taken, k)
+                limit[unknown] = (kth - _MARGIN - 2 * slip[live[unknown]] * longest).astype(np.float32)
+                limit = np.nextafter(limit, np.float32(-np.inf))
+            rows = np.flatnonzero(rough.max(axis=1) >= limit)
+            if not len(rows):
+                continue
+            r, c = np.nonzero(rough[rows] >= limit[rows, None])
+            r, c = live[rows[r]], c + start
+            if len(mine):
+                spot = np.minimum(np.searchsorted(mine, numbers[c]), len(mine) - 1)
+                key = r * len(mine) + spot
+                at = np.minimum(np.searchsorted(taken, key), max(0, len(taken) - 1))
+                free = (mine[spot] != numbers[c]) | (taken[at] != key) if len(taken) else np.ones(len(r), bool)
+                r, c = r[free], c[free]
+            exact = np.einsum("ij,ij->i", left[r], right[c])
+            who, what, score = (np.concatenate(x) for x in zip(best, (r, numbers[c], exact)))
+            turn = np.lexsort((what, -np.round(score, RANK_DIGITS), who))
+            who, what, score = who[turn], what[turn], score[turn]
+            place = np.arange(len(who)) - np.searchsorted(who, who)
+            keep = place < k
+            best = who[keep], what[keep], score[keep]
+            last = place == k - 1
+            floor[who[last]] = np.maximum(floor[who[last]], score[last])
+            limit = np.maximum(limit, np.nextafter(
+                (floor[live] - _MARGIN - slip[live] * longest).astype(np.float32), np.float32(-np.inf)))
+    return best
+
+
+def _kth_free(rough, rows, numbers, mine, taken, k) -> np.ndarray:
+    """Per row the k-th largest score among the items (``numbers``, rising) not taken."""
+    owner = taken // max(1, len(mine))
+    at = np.minimum(np.searchsorted(rows, owner), len(rows) - 1)
+    item = mine[taken % max(1, len(mine))]
+    spot = np.minimum(np.searchsorted(numbers, item), len(numbers) - 1)
+    hit = (rows[at] == owner) & (numbers[spot] == item)
+    free = rough.astype(float)
+    free[at[hit], spot[hit]] = -np.inf
+    return np.partition(free, free.shape[1] - k, axis=1)[:, -k]
