@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -48,7 +48,14 @@ class BasketSupport:
     n_baskets: int
     min_count: int
     item_counts: DataFrame  # item, n — frequent items only
-    baskets: DataFrame  # order_id, items — cut to frequent items, empty ones left out
+    items: DataFrame  # order_id, item — distinct, all items
+
+    @cached_property
+    def baskets(self) -> DataFrame:
+        """order_id, items — cut to frequent items, empty ones left out; written at first use."""
+        cut = self.items.join(self.item_counts.select("item"), "item", "left_semi")
+        kept = cut.groupBy("order_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+        return materialise(kept, "baskets")
 
 
 def _min_count(min_support: float, n: int) -> int:
@@ -62,7 +69,7 @@ def _min_count(min_support: float, n: int) -> int:
 
 
 def basket_support(lines: DataFrame, min_support: float) -> BasketSupport:
-    """Count items and cut baskets to the frequent ones.
+    """Count items; baskets are cut to the frequent ones when a miner asks for them.
 
     No set with an infrequent item can be frequent, so the cut loses nothing. It
     bounds every remaining basket: at most ``mean basket size / min_support``
@@ -74,9 +81,7 @@ def basket_support(lines: DataFrame, min_support: float) -> BasketSupport:
     item_counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(
         F.col("n") >= min_count
     )
-    cut = items.join(item_counts.select("item"), "item", "left_semi")
-    kept = cut.groupBy("order_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    return BasketSupport(n, min_count, item_counts, materialise(kept, "baskets"))
+    return BasketSupport(n, min_count, item_counts, items)
 
 
 def item_support(support: BasketSupport) -> DataFrame:
