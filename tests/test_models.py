@@ -110,6 +110,25 @@ def test_full_model_beats_amount_only_baseline(spark):
     assert evaluation.compare_models(full, base).first().finding == evaluation.FINDING_HIGHER
 
 
+def test_fit_partitions_grow_slower_than_rows(featured, monkeypatch):
+    """Every partition sends the statistics of all nodes, so many rows must not mean many partitions."""
+    assert [models.fit_partitions(n) for n in (0, 75_000, 600_000, 5_000_000)] == [1, 3, 24, 24]
+    assert models.fit_partitions(30_000_000) == 30
+
+    class Stop(Exception):
+        pass
+
+    class Estimator:
+        def fit(self, ready):
+            raise Stop(ready.rdd.getNumPartitions())
+
+    monkeypatch.setattr(models, "RandomForestClassifier", lambda **options: Estimator())
+    monkeypatch.setattr(models, "ROWS_PER_FIT_PARTITION", 5)
+    with pytest.raises(Stop) as stopped:
+        models.train_fraud_model(featured)
+    assert stopped.value.args[0] <= models.FIT_PARTITIONS
+
+
 def test_churn_scores(spark):
     users = trained.churn_users(spark, SMALL.replace("0.001", "0.01"))
     model = models.train_churn_model(users, rounds=5)

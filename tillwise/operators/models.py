@@ -21,8 +21,12 @@ from tillwise.workspace import materialise
 FRAUD_SEED = 42
 CHURN_SEED = 7
 TEST_SHARE = 0.25
-# Training rows are laid out by key in as many partitions as this gives.
+# Training rows are laid out by key in as many partitions as these give.
 ROWS_PER_FIT_PARTITION = 25_000
+#: Beyond this many partitions they get longer first, up to LONG_FIT_PARTITION rows: every
+#: partition sends the statistics of all nodes of a level, however few rows it has.
+FIT_PARTITIONS = 24
+LONG_FIT_PARTITION = 1_000_000
 CHURN_FEATURES = ["tenure_months", "monthly_spend", "sessions_per_month", "support_tickets"]
 
 
@@ -116,6 +120,12 @@ class Classifier:
         return Classifier(PipelineModel.load(f"{path}/model"), list(meta["features"]), meta["out"])
 
 
+def fit_partitions(rows: int) -> int:
+    """From the number of rows alone, so that no session setting changes the model."""
+    few = min(-(-rows // ROWS_PER_FIT_PARTITION), FIT_PARTITIONS)
+    return max(1, few, -(-rows // LONG_FIT_PARTITION))
+
+
 def _fit(
     rows: DataFrame,
     estimator,
@@ -130,8 +140,7 @@ def _fit(
     columns = list(dict.fromkeys([key, *features, label]))
     data = rows.select(*columns)
     test = in_test_part(key, seed)
-    # From the number of rows alone, so that no session setting changes the model.
-    partitions = partitions or max(1, -(-data.where(~test).count() // ROWS_PER_FIT_PARTITION))
+    partitions = partitions or fit_partitions(data.where(~test).count())
     train = feature_matrix(data.where(~test), features)
     # Row sampling inside the trees follows the partition layout: fixing the
     # layout by key makes the model the same in every run.
