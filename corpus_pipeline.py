@@ -3,7 +3,8 @@
     run(spark, "/data/sf")
 
 A stage takes (spark, docs, sf_dir). All but the last return the columns of ``docs``.
-Extra columns are carried along, whatever they are called.
+Extra columns are carried along, whatever they are called. Every stage asks the session
+for small batches first, as its rows hold whole texts.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.llm import bpe, mixing, near_texts, pii, toxicity
+from tillwise.llm.memory import small_batches
 from tillwise.llm.queries import PII_KEY, TOKENIZER, table, toxicity_model
 from tillwise.workspace import materialise
 
@@ -22,6 +24,7 @@ CHUNK_BYTES = 8 << 20
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the tagger does not reject. Empty ones are scored like others."""
+    small_batches(spark)
     model = toxicity_model(spark, docs, sf_dir)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     scored = toxicity.score(packed, model, keep=["row"])
@@ -35,11 +38,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     links propose them, MinHash bands propose those too many bits apart, and the shingles
     decide. The contract of op4_simhash (four words, four bits) binds that query only.
     """
+    small_batches(spark)
     return near_texts.deduplicate(docs)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms; ``n_chars`` follows where there is such a column."""
+    small_batches(spark)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     out = pii.pseudonymise(packed, PII_KEY, count_col="n_pii")
     made = {"text": F.col("text")}
@@ -51,6 +56,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by the probabilities that meet the target marginals."""
+    small_batches(spark)
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         "doc_id", "source", "lang", "text",
@@ -62,6 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digest of the text they decode to."""
+    small_batches(spark)
     # Written first, so that a task runs either the encoder or the decoder.
     encoded = bpe.encode(docs, TOKENIZER, chunk_bytes=CHUNK_BYTES)
     encoded = materialise(encoded, "pipeline-ids")
