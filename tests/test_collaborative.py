@@ -183,6 +183,16 @@ def test_factor_model(spark):
     assert scored.where("prediction is null").count() == 0 and scored.count() > 0
 
 
+def test_blocks_of_the_factorisation_grow_with_the_ratings(spark, monkeypatch):
+    df = spark.createDataFrame(ratings_rows(), "user_id long, product_id long, rating int")
+    monkeypatch.setattr(cf, "FACTOR_BLOCK", 25, raising=False)
+    model = cf.factor_model(df, rank=4, iterations=2)
+    blocks = -(-df.count() // 25)
+    assert blocks > 10
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == blocks
+    assert cf.mean_ratings(df).count() == model.transform(cf.mean_ratings(df)).where("prediction is not null").count()
+
+
 @pytest.mark.parametrize("pad", [True, False])
 def test_requested_users_alone_have_the_same_lists(spark, centred, pad):
     near = cf.neighbors(cf.unit_ratings(centred), K_NEAR)
@@ -245,6 +255,38 @@ def test_users_stop_at_the_blocks_that_matter(spark, monkeypatch):
     assert none_left.count() == 0
 
 
+def test_open_users_alone_go_to_further_rounds(spark, monkeypatch):
+    """They are dealt to as few blocks as they fill; lists that are settled are not written again."""
+    lists, asked = [], []
+    original, dealt = factors.materialise, factors._user_blocks
+
+    def spy(frame, label):
+        made = original(frame, label)
+        if label == "als-best":
+            lists.append({r.user_id for r in made.collect()})
+        return made
+
+    def blocks(n_users, user_block):
+        asked.append((n_users, dealt(n_users, user_block)))
+        return asked[-1][1]
+
+    monkeypatch.setattr(factors, "materialise", spy)
+    monkeypatch.setattr(factors, "_user_blocks", blocks)
+    monkeypatch.setattr(factors, "HELD_BLOCKS", 2)
+    # Users of the second direction find their items behind those of the first.
+    items = [(i, [200.0 - i, 0.0]) for i in range(40)] + [(100 + i, [0.0, 50.0 - i]) for i in range(40)]
+    users = [(u, [1.0 + u, 0.0]) for u in range(40)] + [(90 + u, [0.0, 1.0 + u]) for u in range(3)]
+    factor = "id int, features array<float>"
+    rated = {(0, 1), (0, 2), (91, 100)}
+    got = factors.factor_recommendations(
+        spark.createDataFrame(users, factor), spark.createDataFrame(items, factor),
+        spark.createDataFrame([*rated], "user_id long, product_id long"), 4, 8, 16)
+    got = sorted((r.user_id, r.rank, r.product_id, round(r.score, 9) + 0.0) for r in got.collect())
+    assert got == brute_products(users, items, rated, 4)
+    assert asked[0] == (43, 3) and asked[-1] == (3, 1) and len(asked) > 2
+    assert lists[-1] == {90, 91, 92}
+
+
 def test_fold_in_solves_the_least_squares(spark):
     rng = np.random.default_rng(9)
     items = [(i, rng.normal(size=3).tolist()) for i in range(20)]

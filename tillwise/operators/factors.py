@@ -2,16 +2,18 @@
 
 Item factors are sorted by length and cut into blocks. A user's k-th score so far is a
 bound: where the user's length times the longest item of a block falls below it, neither
-that block nor any later one can change the list. Rounds read one block, the next, the
-next two, four and so on, for the users still open; in skewed catalogues most users stop
-after the first. Within a task the same bound is taken block by block, and scores are
-first taken in single precision: only those that can reach a user's k-th score are worked
+that block nor any later one can change the list. Rounds read one block, what a task holds,
+as much again, twice, four times as much and so on, for the users still open; in skewed
+catalogues most users stop after the first. Open users are dealt anew each round, so few of
+them mean few copies of the items, and lists of the others are not moved again. Within a task the same bound is taken block by block, and scores
+are first taken in single precision: only those that can reach a user's k-th score are worked
 out and compared in full. Lists are exact for the factors at hand, over all users and items.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +25,13 @@ from tillwise.operators.collaborative import RANK_DIGITS, mean_ratings
 from tillwise.workspace import materialise
 
 ITEM_BLOCK = 4_096
-USER_BLOCK = 16_384
+USER_BLOCK = 32_768
 #: Blocks of users that a smaller input is cut into, of this many users at least.
 SPREAD, LEAST_USERS = 32, 2_048
-#: Rows and columns of one product of matrices.
-TILE = 1_024
+#: Rows and columns of one product of matrices: in few columns few rows reach their limit.
+TILE, ITEM_TILE = 4_096, 256
 #: Item blocks that a task holds.
-HELD_BLOCKS = 32
+HELD_BLOCKS = 64
 _MARGIN = 1e-6
 
 
@@ -87,52 +89,60 @@ def factor_recommendations(
     seen = rated.select("user_id", "product_id").distinct().groupBy("user_id").agg(
         F.collect_list("product_id").alias("rated")
     )
-    users = _lengths(user_factors)
-    n_users = users.count()
-    n_blocks = max(1, math.ceil(n_users / user_block), min(SPREAD, math.ceil(n_users / LEAST_USERS)))
     users = materialise(
-        users.join(seen, F.col("id") == F.col("user_id"), "left").select(
+        _lengths(user_factors).join(seen, F.col("id") == F.col("user_id"), "left").select(
             "id", "features", "length",
             F.coalesce("rated", F.array().cast("array<long>")).alias("rated"),
-            F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("ub"),
             F.lit(None).cast("double").alias("kth"),
         ),
         "als-users",
     )
-    best, open_users, first, last = None, users, 0, math.ceil(n_items / item_block)
-    while first < last:
-        until = min(last, max(1, 2 * first))
+    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", RANK_DIGITS)), "product_id")
+    whole = Window.partitionBy("user_id")
+    settled, carried, open_users, n_open = [], None, users, users.count()
+    first, last = 0, math.ceil(n_items / item_block)
+    while first < last and n_open:
+        until = min(last, max(HELD_BLOCKS, 2 * first) if first else 1)
+        n_blocks = _user_blocks(n_open, user_block)
         some = F.explode(F.sequence(F.lit(first), F.lit(until - 1))).alias("ib")
         held = F.floor((F.col("ib") - first) / HELD_BLOCKS).cast("int").alias("part")
-        asked = open_users.withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.lit((until - 1 - first) // HELD_BLOCKS))))
-        offered = open_users.select(F.col("ub").alias("ub")).distinct().select("ub", some).join(
-            blocks, "ib").select("ub", held, "longest", "items")
+        asked = open_users.select(
+            "*", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("ub"),
+            F.explode(F.sequence(F.lit(0), F.lit((until - 1 - first) // HELD_BLOCKS))).alias("part"),
+        )
+        dealt = users.sparkSession.range(n_blocks).select(F.col("id").cast("int").alias("ub"), some)
+        offered = dealt.join(blocks, "ib").select("ub", held, "longest", "items")
         found = asked.groupBy("ub", "part").cogroup(offered.groupBy("ub", "part")).applyInArrow(
-            lambda u, i: _products(u, i, k), "user_id long, product_id long, score double"
+            lambda u, i: _products(u, i, k), "user_id long, length double, product_id long, score double"
         )
-        every = found if best is None else best.unionByName(found)
-        order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", RANK_DIGITS)), "product_id")
+        every = found if carried is None else found.unionByName(carried)
+        ranked = every.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k)
+        kth = F.when(F.count(F.lit(1)).over(whole) >= k, F.min("score").over(whole))
+        best = ranked.withColumn("kth", kth)
+        longest = blocks.where(F.col("ib") == until).first()["longest"] if until < last else -math.inf
+        reached = F.col("length") * F.lit(longest) + _MARGIN >= F.col("kth")
         best = materialise(
-            every.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k).drop("at"), "als-best"
+            best.withColumn("open", F.lit(until < last) & F.coalesce(reached, F.lit(True))), "als-best"
         )
-        first = until
-        if first < last:
-            longest = blocks.where(F.col("ib") == first).first()["longest"]
-            kth = best.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
-            done = kth.where(F.col("n") >= k).select(F.col("user_id").alias("id"), "kth")
-            reached = F.col("length") * F.lit(longest) + _MARGIN >= F.coalesce("kth", F.lit(-math.inf))
+        settled.append(best.where(~F.col("open")).select("user_id", "product_id", "score"))
+        if until < last:
+            carried = best.where("open").select(*found.columns)
+            ends = best.where("at = 1").select(F.col("user_id").alias("id"), "kth", "open")
+            # Without any item so far a user is open, too.
             open_users = materialise(
-                users.drop("kth").join(done, "id", "left").where(F.col("kth").isNull() | reached)
+                open_users.drop("kth").join(ends, "id", "left").where(F.coalesce("open", F.lit(True)))
                 .select(*users.columns),
                 "als-open",
             )
-            if open_users.isEmpty():
-                break
-    if best is None:
-        best = users.sparkSession.createDataFrame([], "user_id long, product_id long, score double")
-    order = Window.partitionBy("user_id").orderBy(F.desc(F.round("score", RANK_DIGITS)), "product_id")
-    return best.withColumn("rank", F.row_number().over(order))
+            n_open = open_users.count()
+        first = until
+    if not settled:
+        settled = [users.sparkSession.createDataFrame([], "user_id long, product_id long, score double")]
+    return reduce(DataFrame.unionByName, settled).withColumn("rank", F.row_number().over(order))
+
+
+def _user_blocks(n_users: int, user_block: int) -> int:
+    return max(1, math.ceil(n_users / user_block), min(SPREAD, math.ceil(n_users / LEAST_USERS)))
 
 
 def _matrix(column) -> np.ndarray:
@@ -162,9 +172,10 @@ def _products(users: pa.Table, blocks: pa.Table, k: int) -> pa.Table:
             owner = np.repeat(np.arange(some.stop - low), np.diff(part.offsets.to_numpy()))
             taken = np.sort(owner * max(1, len(mine)) + np.searchsorted(mine, part.flatten().to_numpy()))
             who, what, score = _best_of(left[some], length[some], floor[some], held, mine, taken, k)
-            out.append((ids[some][who], what, score))
-    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)]
-    return pa.table(dict(zip(("user_id", "product_id", "score"), map(pa.array, columns))))
+            out.append((ids[some][who], length[some][who], what, score))
+    none = [np.empty(0, np.int64), np.empty(0)] * 2
+    columns = [np.concatenate(c) for c in zip(*out)] if out else none
+    return pa.table(dict(zip(("user_id", "length", "product_id", "score"), map(pa.array, columns))))
 
 
 def _best_of(left, length, floor, held, mine, taken, k) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +186,7 @@ def _best_of(left, length, floor, held, mine, taken, k) -> tuple[np.ndarray, np.
     """
     small = left.astype(np.float32)
     slip = (left.shape[1] + 2) * 2.0**-23 * length
-    best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    item, best = np.zeros((len(left), k), np.int64), np.full((len(left), k), -math.inf)
     floor = floor.copy()
     for longest, numbers, right in held:
         # Whoever cannot reach the floor with the longest item here is done with all that follow.
@@ -186,12 +197,12 @@ def _best_of(left, length, floor, held, mine, taken, k) -> tuple[np.ndarray, np.
         # Rounded down, as the comparison must let through whatever may pass.
         limit = np.nextafter(limit, np.float32(-np.inf))
         mine_live, narrow = small[live], right.astype(np.float32)
-        for start in range(0, len(numbers), TILE):
-            rough = mine_live @ narrow[start : start + TILE].T
+        for start in range(0, len(numbers), ITEM_TILE):
+            rough = mine_live @ narrow[start : start + ITEM_TILE].T
             unknown = np.flatnonzero(np.isneginf(limit))
             if len(unknown) and rough.shape[1] > k:
                 # A first floor: the k-th of the free items here, on the safe side.
-                kth = _kth_free(rough[unknown], live[unknown], numbers[start : start + TILE], mine, taken, k)
+                kth = _kth_free(rough[unknown], live[unknown], numbers[start : start + ITEM_TILE], mine, taken, k)
                 limit[unknown] = (kth - _MARGIN - 2 * slip[live[unknown]] * longest).astype(np.float32)
                 limit = np.nextafter(limit, np.float32(-np.inf))
             rows = np.flatnonzero(rough.max(axis=1) >= limit)
@@ -206,17 +217,20 @@ def _best_of(left, length, floor, held, mine, taken, k) -> tuple[np.ndarray, np.
                 free = (mine[spot] != numbers[c]) | (taken[at] != key) if len(taken) else np.ones(len(r), bool)
                 r, c = r[free], c[free]
             exact = np.einsum("ij,ij->i", left[r], right[c])
-            who, what, score = (np.concatenate(x) for x in zip(best, (r, numbers[c], exact)))
+            # Only lists that a score has come to are sorted again.
+            some = np.unique(r)
+            who = np.concatenate([np.repeat(some, k), r])
+            what = np.concatenate([item[some].ravel(), numbers[c]])
+            score = np.concatenate([best[some].ravel(), exact])
             turn = np.lexsort((what, -np.round(score, RANK_DIGITS), who))
-            who, what, score = who[turn], what[turn], score[turn]
-            place = np.arange(len(who)) - np.searchsorted(who, who)
-            keep = place < k
-            best = who[keep], what[keep], score[keep]
-            last = place == k - 1
-            floor[who[last]] = np.maximum(floor[who[last]], score[last])
-            limit = np.maximum(limit, np.nextafter(
-                (floor[live] - _MARGIN - slip[live] * longest).astype(np.float32), np.float32(-np.inf)))
-    return best
+            turn = turn[np.arange(len(who)) - np.searchsorted(who[turn], who[turn]) < k]
+            item[some], best[some] = what[turn].reshape(-1, k), score[turn].reshape(-1, k)
+            floor[some] = np.maximum(floor[some], best[some, k - 1])
+            at = np.searchsorted(live, some)
+            reach = (floor[some] - _MARGIN - slip[some] * longest).astype(np.float32)
+            limit[at] = np.maximum(limit[at], np.nextafter(reach, np.float32(-np.inf)))
+    who, place = np.nonzero(best > -math.inf)
+    return who, item[who, place], best[who, place]
 
 
 def _kth_free(rough, rows, numbers, mine, taken, k) -> np.ndarray:
