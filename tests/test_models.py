@@ -46,6 +46,17 @@ def test_anomaly_scores(featured, forest):
     assert [r.anomaly_score for r in top] == sorted(values, reverse=True)[:10]
 
 
+def test_trees_draw_rows_in_generated_code(spark):
+    rows = spark.range(400).select(F.col("id").alias("txn_id"), (F.col("id") % 7).cast("double").alias("amount"))
+    drawn = anomaly._drawn(rows, "txn_id", ["amount"], 9, 42, -(2**62))
+    hashes = rows.crossJoin(spark.range(9).select(F.col("id").cast("int").alias("tree"))).select(
+        "tree", F.xxhash64("txn_id", "tree", F.lit(42)).alias("draw"), "txn_id", "amount")
+    want = [tuple(r) for r in hashes.collect() if r.draw <= -(2**62)]
+    assert sorted(map(tuple, drawn.collect())) == sorted(want) and want
+    plan = drawn._jdf.queryExecution().toString()
+    assert "lambda" not in plan and plan.count("ArrayTransform") == 0
+
+
 def test_forest_shape(forest):
     rows = forest.nodes.toPandas()
     assert rows["depth"].max() <= 8

@@ -98,13 +98,7 @@ def fit_forest(
     share = min(1.0, _OVERDRAW * size / max(n, 1))
     # Share of the signed 64-bit hash range.
     limit = min(2**63 - 1, int(-(2**63) + share * 2.0**64))
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(n_trees - 1)),
-        lambda t: F.struct(t.alias("tree"), F.xxhash64(F.col(key), t, F.lit(seed)).alias("draw")),
-    )
-    drawn = data.withColumn(
-        "d", F.explode(F.filter(draws, lambda x: x["draw"] <= F.lit(limit)))
-    ).select("d.tree", "d.draw", key, *features)
+    drawn = _drawn(data, key, features, n_trees, seed, limit)
     order = Window.partitionBy("tree").orderBy("draw", key)
     sample = drawn.withColumn("r", F.row_number().over(order)).where(F.col("r") <= size)
     grow = _tree_grower(key, features, seed, max(1, math.ceil(math.log2(max(size, 2)))))
@@ -121,6 +115,20 @@ def fit_forest(
     )
 
 
+def _drawn(
+    data: DataFrame, key: str, features: Sequence[str], n_trees: int, seed: int, limit: int
+) -> DataFrame:
+    """``tree, draw, key`` and features of the rows that a tree draws, ``limit`` at most.
+
+    A row a tree, kept or not on the spot in generated code: a lambda over an array of draws
+    is interpreted element by element.
+    """
+    trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")
+    draw = F.xxhash64(F.col(key), "tree", F.lit(seed)).alias("draw")
+    every = data.select(trees, key, *features).select("tree", draw, key, *features)
+    return every.where(F.col("draw") <= F.lit(limit))
+
+
 def _tree_grower(key: str, features: list[str], seed: int, max_depth: int):
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
         tree = int(sample["tree"].iloc[0])
